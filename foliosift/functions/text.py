@@ -56,41 +56,39 @@ def strip_html(col: Column, drop: Sequence[str] = values.DROPPED_ELEMENTS) -> Co
     return F.trim(F.regexp_replace(F.when(has_markup, text).otherwise(col), r"[ \t]+", " "))
 
 
-class _TextNodes(HTMLParser):
-    """Collects stripped text nodes outside the dropped elements."""
-
-    def __init__(self, drop: Sequence[str]):
-        super().__init__(convert_charrefs=True)
-        self.drop, self.depth, self.nodes = set(drop), 0, []
+def strip_html_parsed(col: Column, drop: Sequence[str] = ("script", "style")) -> Column:
+    """``strip_html`` with a real HTML parser: all entities, malformed markup.
 
-    def handle_starttag(self, tag, attrs):
-        self.depth += tag in self.drop
+    Text nodes are stripped and joined by one space. Costs an Arrow hop; use it where
+    :func:`strip_html` is not exact enough.
+    """
+    dropped = frozenset(drop)
 
-    def handle_endtag(self, tag):
-        self.depth -= tag in self.drop and self.depth > 0
+    class TextNodes(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.nodes = 0, []
 
-    def handle_data(self, data):
-        if not self.depth and data.strip():
-            self.nodes.append(data.strip())
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag in dropped
 
+        def handle_endtag(self, tag):
+            self.depth -= tag in dropped and self.depth > 0
 
-def strip_html_parsed(col: Column, drop: Sequence[str] = ("script", "style")) -> Column:
-    """``strip_html`` with a real HTML parser: all entities, malformed markup.
+        def handle_data(self, data):
+            if not self.depth and data.strip():
+                self.nodes.append(data.strip())
 
-    Costs an Arrow hop; use it where :func:`strip_html` is not exact enough.
-    """
-    drop = tuple(drop)
+    def text_of(html):
+        if html is None:
+            return None
+        parser = TextNodes()
+        parser.feed(html)
+        parser.close()
+        return " ".join(parser.nodes)
 
     @F.pandas_udf(T.StringType())
     def parse(texts: pd.Series) -> pd.Series:
-        def text_of(html):
-            if html is None:
-                return None
-            parser = _TextNodes(drop)
-            parser.feed(html)
-            parser.close()
-            return " ".join(parser.nodes)
-
         return texts.map(text_of)
 
     return parse(col)

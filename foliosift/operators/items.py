@@ -147,10 +147,10 @@ def match_rate(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def sort_spec(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
-    return df.orderBy(*_order(spec))
+    return df.orderBy(*order_columns(spec))
 
 
-def _order(spec: Sequence[tuple[str, str]]) -> list[Column]:
+def order_columns(spec: Sequence[tuple[str, str]]) -> list[Column]:
     for _, direction in spec:
         if direction not in values.SORT_ORDERS:
             raise ValueError(f"order must be one of {values.SORT_ORDERS}, got {direction!r}")
@@ -167,6 +167,6 @@ def page(df: DataFrame, page: int, size: int, spec: Sequence[tuple[str, str]]) -
         raise ValueError("page and size must be positive")
     first, last = (page - 1) * size, page * size
     if last <= TOP_K_ROWS:
-        return df.orderBy(*_order(spec)).offset(first).limit(size)
-    numbered = with_position(df, _order(spec), name="_position")
+        return df.orderBy(*order_columns(spec)).offset(first).limit(size)
+    numbered = with_position(df, order_columns(spec), name="_position")
     return numbered.where(F.col("_position").between(first + 1, last)).drop("_position")

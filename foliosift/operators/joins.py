@@ -86,5 +86,5 @@ def original_values(
     is_hot = F.col(key).isin(hot)
     left = rows.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = first.withColumn("_salt", F.explode(copies).cast("bigint"))
+    right = first.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
     return left.join(right, [key, "_salt"], "left").drop("_salt")
