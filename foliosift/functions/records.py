@@ -55,28 +55,29 @@ def flatten_json(
         *keys, F.lit(prefix).alias("path"), F.parse_json(F.col(column)).alias("node")
     )
     for _ in range(max_depth):
-        rows = rows.select(*keys, F.explode(_children("path", "node", separator)).alias("child"))
+        rows = rows.withColumn("opened", _members("node"))
+        rows = rows.select(*keys, F.explode(_children(separator)).alias("child"))
         rows = rows.select(*keys, "child.path", "child.node")
     text = F.when(
-        _is_object(F.col("node")), F.raise_error(F.lit(_DEEPER)).cast("string")
+        _members("node").isNotNull(), F.raise_error(F.lit(_DEEPER)).cast("string")
     ).otherwise(F.coalesce(F.try_variant_get("node", "$", "string"), F.to_json("node")))
     return rows.select(*keys, "path", text.alias("value"))
 
 
-def _is_object(node: Column) -> Column:
-    return F.startswith(F.schema_of_variant(node), F.lit("OBJECT"))
+def _members(node: str) -> Column:
+    """The members of an object; null for anything else."""
+    return F.try_variant_get(node, "$", "map<string,variant>")
 
 
-def _children(path: str, node: str, separator: str) -> Column:
-    here, value = F.col(path), F.col(node)
+def _children(separator: str) -> Column:
+    here = F.col("path")
     joined = F.when(here == "", F.lit("")).otherwise(F.concat(here, F.lit(separator)))
-    opened = F.transform(
-        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+    members = F.transform(
+        F.map_entries("opened"),
         lambda e: F.struct(F.concat(joined, e["key"]).alias("path"), e["value"].alias("node")),
     )
-    return F.when(_is_object(value), opened).otherwise(
-        F.array(F.struct(here.alias("path"), value.alias("node")))
-    )
+    itself = F.array(F.struct(here.alias("path"), F.col("node").alias("node")))
+    return F.coalesce(members, itself)
 
 
 def mark_status(is_valid: Column, processed: Column | None = None) -> tuple[Column, Column]:

@@ -15,28 +15,39 @@ from pyspark.sql import types as T
 from foliosift import values
 
 # Blocks in which every character is its own NFKC form and never combines with a
-# neighbour: a text made only of these cannot change under NFKC.
+# neighbour: a text made only of these cannot change under NFKC. The frequent blocks
+# come first, because the regex tests the groups one after the other.
 NFKC_STABLE_RANGES = (
-    (0x0000, 0x009F),  # ASCII and C1 controls
-    (0x00A1, 0x00A7),
-    (0x00AB, 0x00AE),
-    (0x00B0, 0x00B1),
-    (0x00B6, 0x00B7),
-    (0x00BB, 0x00BB),
-    (0x00BF, 0x0131),  # Latin letters up to dotless i
-    (0x0141, 0x0148),
-    (0x014A, 0x017E),
-    (0x0410, 0x044F),  # Cyrillic
-    (0x2010, 0x2010),
-    (0x2012, 0x2016),
-    (0x2018, 0x2023),
-    (0x3001, 0x3029),  # CJK punctuation
-    (0x3041, 0x3096),  # hiragana
-    (0x30A0, 0x30FE),  # katakana
-    (0x4E00, 0x9FFF),  # unified ideographs
-    (0xAC00, 0xD7A3),  # Hangul syllables
+    ((0x0000, 0x009F),),  # ASCII and C1 controls
+    (
+        (0x3041, 0x3096),  # hiragana
+        (0x30A0, 0x30FE),  # katakana
+        (0x4E00, 0x9FFF),  # unified ideographs
+        (0x3001, 0x3029),  # CJK punctuation
+    ),
+    ((0x00BF, 0x0131),),  # Latin letters up to dotless i
+    (
+        (0x00A1, 0x00A7),
+        (0x00AB, 0x00AE),
+        (0x00B0, 0x00B1),
+        (0x00B6, 0x00B7),
+        (0x00BB, 0x00BB),
+        (0x0141, 0x0148),
+        (0x014A, 0x017E),
+        (0x0410, 0x044F),  # Cyrillic
+        (0x2010, 0x2010),
+        (0x2012, 0x2016),
+        (0x2018, 0x2023),
+        (0xAC00, 0xD7A3),  # Hangul syllables
+    ),
 )
-_UNSTABLE = "[^" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in NFKC_STABLE_RANGES) + "]"
+
+
+def _outside(ranges) -> str:
+    return "[^" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+_UNSTABLE = "[" + "&&".join(_outside(group) for group in NFKC_STABLE_RANGES) + "]"
 # Full-width forms and the ideographic space, mapped one to one by NFKC.
 _FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 _HALF_WIDTH = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "

@@ -113,48 +113,67 @@ def confusion_matrix(pairs: DataFrame, labels: Sequence[int]) -> DataFrame:
     )
 
 
-def classification_report(pairs: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per class, accuracy, macro and weighted averages."""
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
-    sides = pairs.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("actual").alias("label"), hit.alias("hits"),
-                         F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted")),
-                F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("hits"),
-                         F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted")),
-            )
-        )
+def classification_report(pairs: DataFrame, labels: Sequence[int]) -> DataFrame:
+    """Precision, recall, F1 and support per class, accuracy, macro and weighted averages.
+
+    All sums are one row, from which the report's rows are laid out: the scores behind
+    ``pairs`` are computed once.
+    """
+    n, metrics = F.col("n"), ("precision", "recall", "f1")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    actual, predicted = F.col("actual"), F.col("predicted")
+    sums = pairs.agg(
+        *[total((actual == x) & (predicted == x)).alias(f"hits_{x}") for x in labels],
+        *[total(actual == x).alias(f"support_{x}") for x in labels],
+        *[total(predicted == x).alias(f"predicted_{x}") for x in labels],
+    )
+    every = F.array(*[_label_row(x) for x in labels])
+    table = sums.select(
+        F.transform(
+            every,
+            lambda r: r.withField(
+                "f1", share(2 * r["precision"] * r["recall"], r["precision"] + r["recall"])
+            ),
+        ).alias("classes")
     )
-    totals = sides.groupBy("label").agg(
-        *[F.sum(c).alias(c) for c in ("hits", "support", "predicted")]
+
+    def over_classes(term) -> Column:
+        return F.aggregate("classes", F.lit(0.0), lambda acc, r: acc + term(r))
+
+    support = F.aggregate("classes", F.lit(0).cast("bigint"), lambda acc, r: acc + r["support"])
+    hits = F.aggregate("classes", F.lit(0).cast("bigint"), lambda acc, r: acc + r["hits"])
+    size = F.lit(float(len(labels)))
+    accuracy = share(hits, support)
+    weighted = [
+        share(over_classes(lambda r, m=m: r[m] * r["support"]), support).alias(m) for m in metrics
+    ]
+    summaries = F.array(
+        F.struct(F.lit("accuracy").alias("label"), *[accuracy.alias(m) for m in metrics], support.alias("support")),
+        F.struct(
+            F.lit("macro avg").alias("label"),
+            *[(over_classes(lambda r, m=m: r[m]) / size).alias(m) for m in metrics],
+            support.alias("support"),
+        ),
+        F.struct(F.lit("weighted avg").alias("label"), *weighted, support.alias("support")),
     )
-    measured = totals.select(
-        "label", "hits", "support",
-        share(F.col("hits"), F.col("predicted")).alias("precision"),
-        share(F.col("hits"), F.col("support")).alias("recall"),
-    ).withColumn(
-        "f1", share(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    classes = F.transform(
+        "classes", lambda r: F.struct(r["label"].alias("label"), *[r[m].alias(m) for m in metrics], r["support"].alias("support"))
     )
-    metrics = ("precision", "recall", "f1")
-    support = F.sum("support")
-    per_class = measured.select(F.col("label").cast("string"), *metrics, "support")
-    summary = measured.agg(
+    return table.select(F.inline(F.concat(classes, summaries)))
+
+
+def _label_row(label: int) -> Column:
+    hits, support = F.col(f"hits_{label}"), F.col(f"support_{label}")
+    return F.struct(
+        F.lit(str(label)).alias("label"),
+        hits.alias("hits"),
         support.alias("support"),
-        share(F.sum("hits"), support).alias("accuracy"),
-        *[F.avg(m).alias(f"macro_{m}") for m in metrics],
-        *[share(F.sum(F.col(m) * F.col("support")), support).alias(f"weighted_{m}") for m in metrics],
-    )
-    averages = summary.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("accuracy").alias("label"), *[F.col("accuracy").alias(m) for m in metrics], "support"),
-                F.struct(F.lit("macro avg").alias("label"), *[F.col(f"macro_{m}").alias(m) for m in metrics], "support"),
-                F.struct(F.lit("weighted avg").alias("label"), *[F.col(f"weighted_{m}").alias(m) for m in metrics], "support"),
-            )
-        )
+        share(hits, F.col(f"predicted_{label}")).alias("precision"),
+        share(hits, support).alias("recall"),
     )
-    return per_class.unionByName(averages)
 
 
 def key_metrics(pairs: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from foliosift import values
 from foliosift.functions import scores
 from foliosift.operators import evaluate
+from foliosift.operators.scoring import LexicalScorer, score_texts
 from foliosift.plans import check_sql as q
 from foliosift.plans.curation_queries import lexical
 from foliosift.plans.registry import query
+from foliosift.plans.text_queries import documents
 from foliosift.session import table
 from foliosift.sources.readers import read_labelled
 
@@ -78,11 +80,7 @@ _BINARY = f"""WITH {q.score_cte()}, pairs AS (SELECT (score >= 2.5)::INTEGER AS
 
 
 def evaluated(spark, sf):
-    labelled = read_labelled(
-        table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "labels", "doc_id", "quality")
-    )
-    from foliosift.operators.scoring import LexicalScorer, score_texts
-
+    labelled = read_labelled(documents(spark, sf), table(spark, sf, "labels", "doc_id", "quality"))
     return score_texts(labelled, LexicalScorer())
 
 
@@ -116,7 +114,7 @@ def _(spark, sf):
 
 @query("agg8_report_5_class", f"{_GRADED}{_report_sql(values.SCORE_CLASSES)}")
 def _(spark, sf):
-    return _rounded(evaluate.classification_report(evaluate.graded_pairs(evaluated(spark, sf))))
+    return _rounded(evaluate.classification_report(evaluate.graded_pairs(evaluated(spark, sf)), values.SCORE_CLASSES))
 
 
 @query("agg9_confusion_binary", f"{_BINARY} {_matrix_sql((0, 1))}")
@@ -126,7 +124,7 @@ def _(spark, sf):
 
 @query("agg10_report_binary", f"{_BINARY}{_report_sql((0, 1))}")
 def _(spark, sf):
-    return _rounded(evaluate.classification_report(evaluate.binary_pairs(evaluated(spark, sf))))
+    return _rounded(evaluate.classification_report(evaluate.binary_pairs(evaluated(spark, sf)), (0, 1)))
 
 
 @query(

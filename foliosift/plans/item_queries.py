@@ -10,7 +10,7 @@ from foliosift.operators import items, numbering
 from foliosift.plans import check_sql as q
 from foliosift.plans.curation_queries import _doc_answers, lexical
 from foliosift.plans.registry import query
-from foliosift.session import scratch_path, table
+from foliosift.session import scratch_path, spread, table
 from foliosift.operators.annotate import TableAnnotator, assemble_result
 from foliosift.sources import readers, writers
 
@@ -207,7 +207,7 @@ def _(spark, sf):
        UNION ALL SELECT event_id, 'body.list', '[1,2]' FROM events""",
 )
 def _(spark, sf):
-    events = table(spark, sf, "events", "event_id", "event_type", "user_id", "props")
+    events = spread(table(spark, sf, "events", "event_id", "event_type", "user_id", "props"), "event_id")
     nested = F.concat(
         F.lit('{"type": "'), "event_type", F.lit('", "none": {}, "body": {"list": [1, 2], "user": '),
         F.col("user_id").cast("string"), F.lit(', "props": '), "props", F.lit("}}"),

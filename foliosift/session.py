@@ -22,6 +22,9 @@ def build_session(app_name: str = "foliosift", **settings: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM never compiles a method above 8000 bytes. A long cascade exceeds that as
+        # one fused method; with this limit Spark plans it as separate, compiled ones.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
