@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from foliosift import values
 
 
+# After an empty match Java goes on one UTF-16 unit later, which may be the second half of
+# a character outside the basic plane; n-grams must not start there.
+_LOW_HALF = r"\x{DC00}-\x{DFFF}"
+
+
 def share(part: Column, whole: Column) -> Column:
     """``part / whole`` as double, 0 where ``whole`` is 0."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
@@ -44,13 +49,13 @@ def squeezed_lower(col: Column) -> Column:
 
 def word_ngrams(squeezed: Column, n: int) -> Column:
     """All overlapping ``n``-grams of a space-separated text, as strings."""
-    pattern = rf"(?<!\S)(?=(\S+(?: \S+){{{n - 1}}})(?!\S))"
+    pattern = rf"(?<!\S)(?=([^\s{_LOW_HALF}]\S*(?: \S+){{{n - 1}}})(?!\S))"
     return F.regexp_extract_all(squeezed, F.lit(pattern), F.lit(1))
 
 
 def char_ngrams(col: Column, n: int) -> Column:
     """All overlapping ``n``-character substrings, counted in code points."""
-    pattern = rf"(?s)(?<![\x{{D800}}-\x{{DBFF}}])(?=(.{{{n}}}))"
+    pattern = rf"(?s)(?=([^{_LOW_HALF}].{{{n - 1}}}))"
     return F.regexp_extract_all(col, F.lit(pattern), F.lit(1))
 
 

@@ -22,9 +22,15 @@ def text_key(col: Column) -> Column:
     return F.md5(col)
 
 
-def exact_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct text: its key, its smallest id and its number of copies."""
-    return df.groupBy(text_key(F.col(text_col)).alias(_TEXT_KEY)).agg(
+def exact_first(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None
+) -> DataFrame:
+    """One row per distinct text: its key, its smallest id and its number of copies.
+
+    With a stored ``key_col`` the texts are not read.
+    """
+    key = text_key(F.col(text_col)) if key_col is None else F.col(key_col)
+    return df.groupBy(key.alias(_TEXT_KEY)).agg(
         F.min(id_col).alias(_FIRST), F.count(F.lit(1)).alias("copies")
     )
 
@@ -118,15 +124,17 @@ def mark_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     reason_col: str = "reject_reason",
+    key_col: str | None = None,
     **settings,
 ) -> DataFrame:
     """Give accepted rows the reason ``exact_duplicate`` or ``near_duplicate``.
 
-    Rows that already carry a reason take no part and keep it.
+    Rows that already carry a reason take no part and keep it. ``df`` is read three times
+    (signatures, keys, result), so it should be a stored table.
     """
-    open_rows = df.where(F.col(reason_col).isNull()).select(id_col, text_col)
+    open_rows = df.where(F.col(reason_col).isNull())
     kept = near_first(open_rows, id_col, text_col, **settings).withColumn("_kept", F.lit(True))
-    first = exact_first(open_rows, id_col, text_col).select(
+    first = exact_first(open_rows, id_col, text_col, key_col).select(
         F.col(_FIRST).alias(id_col), F.lit(True).alias("_first")
     )
     reason = (
@@ -135,9 +143,9 @@ def mark_duplicates(
         .when(F.col("_first"), F.lit("near_duplicate"))
         .otherwise(F.lit("exact_duplicate"))
     )
+    verdict = first.join(kept, id_col, "left")
     return (
-        df.join(kept, id_col, "left")
-        .join(first, id_col, "left")
+        df.join(verdict, id_col, "left")
         .withColumn(reason_col, reason)
         .drop("_kept", "_first")
     )

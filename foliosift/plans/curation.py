@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from foliosift.operators.annotate import assemble_result
 from foliosift.operators.cascade import REASON, apply_cascade, count_outcomes, count_reasons
-from foliosift.operators.dedup import mark_duplicates
+from foliosift.operators.dedup import mark_duplicates, text_key
 from foliosift.operators.rules import Rule
 from foliosift.operators.scoring import score_texts
-from foliosift.session import scratch_path, spread
+from foliosift.session import materialise, spread
 from foliosift.sources.readers import require_input
 from foliosift.sources.writers import write_results_jsonl, write_texts_jsonl
 
@@ -28,22 +28,19 @@ class CurationResult:
     reasons: DataFrame
 
 
-def clean(
-    corpus: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", stage_path: str | None = None
-) -> DataFrame:
+def clean(corpus: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id") -> DataFrame:
     """``doc_id, text, reject_reason`` after the cascade and duplicate removal.
 
-    The cascade is the expensive part and three branches read it, so its result is written
-    once to the shared folder: losing an executor costs a file read, not the n-gram work.
-    The rejected rows keep only their id and reason.
+    The cascade is the expensive part and three branches read its result, so it is written
+    once, with the key of every text next to it: finding exact copies then reads keys
+    only. Rejected rows keep their id and reason but no text.
     """
-    spark = corpus.sparkSession
-    path = stage_path or scratch_path(spark, "cleaned")
-    cleaned = apply_cascade(spread(corpus.select(id_col, "text"), id_col), rules)
-    cleaned.select(
+    cascaded = apply_cascade(spread(corpus.select(id_col, "text"), id_col), rules)
+    staged = cascaded.select(
         id_col, F.when(F.col(REASON).isNull(), F.col("text_clean")).alias("text"), REASON
-    ).write.mode("overwrite").parquet(path)
-    return mark_duplicates(spark.read.parquet(path), id_col, "text")
+    )
+    staged = materialise(staged.withColumn("text_key", text_key(F.col("text"))), "cleaned")
+    return mark_duplicates(staged, id_col, "text", key_col="text_key").drop("text_key")
 
 
 def curate(

@@ -57,25 +57,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Fix the rows of ``df`` on shared storage and cut its lineage."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the files.
+
+    Cuts the lineage: a lost executor costs a file read, and every later branch sees the
+    same rows and reads only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input of few partitions over all cores before CPU-heavy row work.
+    """Spread a small input over all cores before CPU-heavy row work.
 
-    A large input already has more partitions than cores and is passed through
-    without a shuffle.
+    Small means fewer scan splits than cores by the optimizer's size estimate; a large
+    input is passed through without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * 2, key)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(str(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
+    return df if size >= split * cores else df.repartition(cores * 2, key)
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

@@ -90,7 +90,7 @@ def test_repetition_measures_equal_brute_force(texts):
 
 def test_line_measures_equal_brute_force(texts):
     rng = random.Random(5)
-    parts = ["", " ", "ab", "abcde", "long line here", "end...", "so…", "x ... ", "\t"]
+    parts = ["", " ", "ab", "abcde", "long line here", "end...", "so…", "x ... ", "\t", "𠮷", "abcd𠮷𠮷", "𠮷 …"]
     rows = ["\n".join(rng.choice(parts) for _ in range(rng.randrange(1, 7))) for _ in range(150)]
     short, ending = [], []
     for r in rows:
