@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliosift import values
@@ -107,6 +107,21 @@ def lexicon(name: str, terms: Sequence[str] | None = None, max_hits: int = 3) ->
     return Rule(name, lambda c: measures.lexicon_hits(c, chosen) >= max_hits)
 
 
+def lexicons_from_table(table: DataFrame, max_terms: int = 10_000) -> dict[str, list[str]]:
+    """Term lists per category from a ``(category, term)`` table.
+
+    The terms become part of the plan, so a table with more than ``max_terms`` rows is an
+    error.
+    """
+    rows = table.select("category", "term").distinct().limit(max_terms + 1).collect()
+    if len(rows) > max_terms:
+        raise ValueError(f"lexicon table has more than {max_terms} terms")
+    lexicons: dict[str, list[str]] = {}
+    for category, term in sorted(tuple(row) for row in rows):
+        lexicons.setdefault(category, []).append(term)
+    return lexicons
+
+
 def special_tokens(threshold: float = 0.4) -> Rule:
     return Rule("special_tokens", lambda c: measures.special_share(c) > threshold)
 

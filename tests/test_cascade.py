@@ -75,6 +75,13 @@ def test_rule_needs_one_action():
         rules.default_rules(nonsense=rules.doc_length())
 
 
+def test_lexicons_from_table(spark):
+    table = spark.createDataFrame([("ads", "buy"), ("ads", "buy"), ("adult", "x")], "category string, term string")
+    assert rules.lexicons_from_table(table) == {"ads": ["buy"], "adult": ["x"]}
+    with pytest.raises(ValueError):
+        rules.lexicons_from_table(table, max_terms=1)
+
+
 def test_counts(texts):
     judged = cascade.apply_cascade(texts(["abcdef", "a", "b", "!!!!!!"]), [rules.doc_length(5, 9), rules.special_tokens()])
     assert cascade.count_outcomes(judged).first().asDict() == {
