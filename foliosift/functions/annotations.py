@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from foliosift import values
+from foliosift.functions.json_values import is_json_object
 
 PLACEHOLDER = "{input}"
 
@@ -98,8 +99,7 @@ def parse_annotation(response: Column, task: Task) -> Column:
     """The answer as a struct; null for an empty, missing or malformed answer."""
     record = F.from_json(response, task.ddl, {"mode": "PERMISSIVE"})
     fields = [record[name].alias(name) for name, _ in task.fields]
-    well_formed = F.try_parse_json(response).isNotNull() & response.rlike(r"(?s)^\s*\{.*\}\s*$")
-    return F.when(well_formed, F.struct(*fields))
+    return F.when(is_json_object(response), F.struct(*fields))
 
 
 def validate_annotation(record: Column, task: Task) -> Column:

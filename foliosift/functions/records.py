@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliosift.functions.json_values import parse_values
+
 _DEEPER = "nested deeper than max_depth; raise max_depth"
 
 
@@ -51,9 +53,7 @@ def flatten_json(
     Each level opens the objects it finds and keeps everything else, all in one narrow
     pass; an object below ``max_depth`` levels is an error, never dropped.
     """
-    rows = df.select(
-        *keys, F.lit(prefix).alias("path"), F.parse_json(F.col(column)).alias("node")
-    )
+    rows = parse_values(df, column, *keys, name="node").withColumn("path", F.lit(prefix))
     for _ in range(max_depth):
         rows = rows.withColumn("opened", _members("node"))
         rows = rows.select(*keys, F.explode(_children(separator)).alias("child"))

@@ -25,6 +25,8 @@ def build_session(app_name: str = "foliosift", **settings: str) -> SparkSession:
         # The JVM never compiles a method above 8000 bytes. A long cascade exceeds that as
         # one fused method; with this limit Spark plans it as separate, compiled ones.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # A repeated key in a JSON object: the last value counts.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

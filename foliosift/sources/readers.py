@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliosift.functions.json_values import parse_values
+
 
 def _texts(objects: DataFrame, id_field: str | None) -> DataFrame:
     """Variant rows to ``doc_id, text``; rows that are no object or lack a text are skipped."""
@@ -30,12 +32,10 @@ def read_json_corpus(
     for one array file those are the list positions.
     """
     if lines:
-        objects = spark.read.text(path).where(F.trim("value") != "").select(
-            F.parse_json("value").alias("v")
-        )
+        objects = parse_values(spark.read.text(path).where(F.trim("value") != ""), "value")
     else:
-        arrays = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("a"))
-        objects = arrays.select(F.explode(F.col("a").cast("array<variant>")).alias("v"))
+        arrays = parse_values(spark.read.text(path, wholetext=True), "value")
+        objects = arrays.select(F.explode(F.col("v").cast("array<variant>")).alias("v"))
     return _texts(objects, id_field)
 
 
@@ -46,15 +46,6 @@ def require_input(df: DataFrame) -> DataFrame:
     return df
 
 
-def _checked(value: Column, strict: bool) -> Column:
-    parsed = F.parse_json(value)
-    if not strict:
-        return parsed
-    kind = F.schema_of_variant(parsed)
-    wrong = F.raise_error(F.concat(F.lit("Expected JSON object, got "), kind)).cast("variant")
-    return F.when(F.startswith(kind, F.lit("OBJECT")), parsed).otherwise(wrong)
-
-
 def read_json_objects(
     spark: SparkSession,
     path: str,
@@ -67,7 +58,12 @@ def read_json_objects(
     Invalid JSON fails the job; ``strict`` also rejects a top-level value that is no object.
     """
     raw = spark.read.text(path, wholetext=not lines)
-    parsed = raw.select(_checked(F.col("value"), strict).alias("value"))
+    parsed = parse_values(raw, "value", name="value")
+    if strict:
+        kind = F.schema_of_variant("value")
+        wrong = F.raise_error(F.concat(F.lit("Expected JSON object, got "), kind)).cast("variant")
+        is_object = F.startswith(kind, F.lit("OBJECT"))
+        parsed = parsed.select(F.when(is_object, F.col("value")).otherwise(wrong).alias("value"))
     if schema is None:
         return parsed
     return parsed.select(F.col("value").cast(f"struct<{schema}>").alias("value")).select("value.*")

@@ -167,10 +167,14 @@ def test_json_objects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{\n "name": "x", "nested": {"key": "値"}}', encoding="utf-8")
     (tmp_path / "b.json").write_text("{invalid json}")
     (tmp_path / "c.json").write_text("[1, 2]")
+    (tmp_path / "d.json").write_text('{"name": "x"} {"name": "y"}')
+    (tmp_path / "e.json").write_text('{"name": "x"}, {"name": "y"}')
+    (tmp_path / "f.json").write_text('{"name": "x", "name": "y"}')
     read = lambda name, **kw: readers.read_json_objects(spark, str(tmp_path / name), **kw).collect()
     got = read("a.json", schema="name string, nested struct<key: string>")[0]
     assert (got.name, got.nested.key) == ("x", "値")
-    for name, kw in (("b.json", {}), ("b.json", {"strict": False}), ("c.json", {})):
+    assert read("f.json", schema="name string")[0].name == "y"
+    for name, kw in (("b.json", {}), ("b.json", {"strict": False}), ("c.json", {}), ("d.json", {}), ("e.json", {})):
         with pytest.raises(Exception):
             read(name, **kw)
     assert len(read("c.json", strict=False)) == 1

@@ -102,6 +102,7 @@ def test_annotation_records(spark):
     got = check(spark, A.DIFFICULTY, [
         json.dumps(good), json.dumps(good | {"difficulty": "odd"}), json.dumps(good)[:-3], "", None,
         "[1]", json.dumps({"intent": "a", "difficulty": "easy"}), json.dumps(good)[:-1], json.dumps(good) + " extra",
+        json.dumps(good) + json.dumps(good), "null",
     ])
     assert got[0].asDict() == good | {"error": None}
     assert all(r.error == "Failed to get difficulty" and r.intent is None for r in got[1:])
