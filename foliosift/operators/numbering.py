@@ -24,9 +24,12 @@ def with_position(
     over many tasks. The sorted rows are fixed on shared storage together with their
     (partition, slot) address; row numbers are then the slot plus the number of group rows
     in earlier partitions, which comes from one small row per partition and group.
-    ``order`` should be unique: equal keys are numbered in arbitrary order.
+    Rows with equal keys are ordered by a hash of the whole row, so that a key shared by many
+    rows spreads as well and numbers do not depend on the partitioning.
     """
-    keys = [F.col(name) for name in within] + [F.col(o) if isinstance(o, str) else o for o in order]
+    keys = [F.col(g) for g in within] + [F.col(o) if isinstance(o, str) else o for o in order]
+    hashable = [_quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    keys.append(F.xxhash64(*hashable))
     address = F.monotonically_increasing_id()
     placed = materialise(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_address", address)
@@ -56,7 +59,11 @@ def with_position(
         offsets = F.broadcast(offsets)
         on = F.col("_part") == F.col("_p")
     position = (F.col("_slot") + F.col("_shift") + 1).cast("bigint")
-    return placed.join(offsets, on).select(*[F.col(c) for c in df.columns], position.alias(name))
+    return placed.join(offsets, on).select(*[_quoted(c) for c in df.columns], position.alias(name))
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def chunk(

@@ -71,6 +71,14 @@ def test_position_within_a_hot_group(spark):
     assert got.count() == 3000 and wrong.count() == 0
 
 
+def test_equal_order_keys_are_numbered_alike_for_any_partitioning(spark):
+    df = spark.range(2000).select("id", F.lit(1).alias("k"), F.lit(2).alias("a.b"))
+    one, other = (
+        {r.id: r.position for r in numbering.with_position(df.repartition(n), ["k"]).collect()} for n in (1, 7)
+    )
+    assert one == other and sorted(one.values()) == list(range(1, 2001))
+
+
 def test_batches_and_chunk_files(spark, tmp_path):
     df = spark.range(1, 1001).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("Item "), "id").alias("name"), (F.col("id") * 10).alias("value"))
     assert numbering.chunk(df, 100, ["id"]).select("chunk").distinct().count() == 10
