@@ -50,8 +50,9 @@ def accept_language(languages: Sequence[str], min_ratio: float = 0.5) -> Rule:
     return Rule("language", rejects)
 
 
-def strip_html() -> Rule:
-    return Rule("strip_html", transform=text.strip_html)
+def strip_html(exact: bool = False) -> Rule:
+    """``exact`` uses the HTML parser, at the price of an Arrow hop."""
+    return Rule("strip_html", transform=text.strip_html_parsed if exact else text.strip_html)
 
 
 def remove_phrases(phrases: Sequence[str] = values.BOILERPLATE_PHRASES) -> Rule:
@@ -81,8 +82,14 @@ def short_lines(threshold: float = 0.5, min_length: int = 5) -> Rule:
     return Rule("short_lines", lambda c: measures.short_line_share(c, min_length) > threshold)
 
 
-def noun_heavy(max_ratio: float = 0.8, min_words: int = 10) -> Rule:
-    return Rule("noun_heavy", lambda c: measures.content_word_share(c, min_words) > max_ratio)
+def noun_heavy(
+    max_ratio: float = 0.8,
+    min_words: int = 10,
+    noun_share: Callable[[Column], Column] | None = None,
+) -> Rule:
+    """``noun_share`` may be a tagger's share of nouns, for example a ``pandas_udf``."""
+    measure = noun_share or (lambda c: measures.content_word_share(c, min_words))
+    return Rule("noun_heavy", lambda c: measure(c) > max_ratio)
 
 
 def char_repetition(n: int = 10, max_ratio: float = 0.33) -> Rule:

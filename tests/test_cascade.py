@@ -82,6 +82,13 @@ def test_lexicons_from_table(spark):
         rules.lexicons_from_table(table, max_terms=1)
 
 
+def test_pluggable_parts(texts):
+    shares = rules.noun_heavy(0.5, noun_share=lambda c: F.length(c) / 10.0)
+    judged = cascade.apply_cascade(texts(["<b>caf&eacute;</b>", "<i>a longer one"]), [rules.strip_html(exact=True), shares])
+    got = judged.orderBy("doc_id").collect()
+    assert [(r.text_clean, r.reject_reason) for r in got] == [("café", None), ("a longer one", "noun_heavy")]
+
+
 def test_counts(texts):
     judged = cascade.apply_cascade(texts(["abcdef", "a", "b", "!!!!!!"]), [rules.doc_length(5, 9), rules.special_tokens()])
     assert cascade.count_outcomes(judged).first().asDict() == {
