@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import fresh_name, quoted, require_columns, row_key
+from foliosift.session import materialise
 
 #: Rows of repeated (id, text) that one generated array may hold.
 _RUN = 65_536
@@ -61,7 +62,8 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts:
         .alias("group_size"),
     )
     rows = base.select("doc_id", *_content(F.col("text"))).groupBy("doc_id", *address).agg(F.count(F.lit(1)).alias("n"))
-    joined = rows.join(found, list(address))
+    # Stored, so that both sides of the join are plain and Spark can split a group of copies.
+    joined = rows.join(materialise(found, "exact-groups"), list(address))
     # Repeated (id, text) rows come back one by one, in runs of bounded length.
     first_of_run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {_RUN}"))).alias("run")
     copies = joined.select("*", first_of_run).select(
