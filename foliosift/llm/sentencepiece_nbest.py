@@ -393,8 +393,11 @@ def apply_edits(ids: list[int], edits) -> list[int]:
 
 def _add(df: DataFrame, fields: list[T.StructField], work) -> DataFrame:
     """``df`` plus columns that ``work`` (slice of the batch -> arrays) makes."""
-    schema = T.StructType([*df.schema.fields, *fields])
-    width = len(df.schema.fields)
+    names = [*df.columns, *(f.name for f in fields)]
+    width = len(df.columns)
+    # Numbered names while in Python: any name, dots included, comes back as it was.
+    kinds = [f.dataType for f in [*df.schema.fields, *fields]]
+    schema = T.StructType([T.StructField(f"c{i}", kind) for i, kind in enumerate(kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = work()
@@ -404,7 +407,7 @@ def _add(df: DataFrame, fields: list[T.StructField], work) -> DataFrame:
                 columns = [rows.column(i) for i in range(width)] + make(rows)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*schema.names[:width]).mapInArrow(run, schema).toDF(*names)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", n: int = 4) -> DataFrame:
