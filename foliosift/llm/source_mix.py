@@ -139,16 +139,19 @@ def place_words(
     placed = placed.withColumn("shard", _number(F.concat(F.lit("shard|"), F.col("seed_key")), shards))
     by_shard = materialise(placed.groupBy("place", "shard").agg(F.sum("size").alias("words")), "mix-shards")
 
+    # The narrow inputs of each level are stored, which keeps the plans short.
     blocks = sources.select(
-        F.lit(0).alias("all"), "place", "target",
+        F.lit(0).alias("every"), "place", "target",
         F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("bigint").alias("seats"),
     )
-    of_source = highest_quotients(blocks, "all", "place", "target", "seats").select("place", F.col("quota").alias("seats"))
+    of_source = highest_quotients(materialise(blocks, "mix-level"), "every", "place", "target", "seats")
+    of_source = of_source.select("place", F.col("quota").alias("seats"))
     # A rack's key holds its source, a shard's key its rack: both are single numbers.
     keyed = by_shard.withColumn("rack", F.col("place") * (1 << 32) + F.floor(F.col("shard") / _RACK))
     racks = keyed.groupBy("place", "rack").agg(F.sum("words").alias("words")).join(of_source, "place")
-    of_rack = highest_quotients(racks, "place", "rack", "words", "seats").select("rack", F.col("quota").alias("seats"))
-    quotas = highest_quotients(keyed.join(of_rack, "rack"), "rack", "shard", "words", "seats")
+    of_rack = highest_quotients(materialise(racks, "mix-level"), "place", "rack", "words", "seats")
+    dealt = keyed.join(of_rack.select("rack", F.col("quota").alias("seats")), "rack")
+    quotas = highest_quotients(materialise(dealt, "mix-level"), "rack", "shard", "words", "seats")
     n = F.ceil(F.col("words") / block_words)
     quotas = keyed.join(quotas, ["rack", "shard"]).where("words > 0").select(
         "place",
@@ -158,6 +161,7 @@ def place_words(
         n.alias("blocks"),
         _number(F.concat_ws("|", F.lit("start"), F.lit(seed).cast("string"), "place", "shard"), n).alias("start"),
     )
+    quotas = materialise(quotas, "mix-quotas")
 
     stream = Window.partitionBy("place", "shard").orderBy("seed_key").rowsBetween(Window.unboundedPreceding, 0)
     rows = placed.withColumn("end", F.sum("size").over(stream)).join(quotas, ["place", "shard"], "left")
