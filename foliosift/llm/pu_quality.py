@@ -159,15 +159,22 @@ def fit(
     def describe(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in texts])
 
-    def sample(ids: DataFrame) -> np.ndarray:
-        rows = docs.join(ids.select(quoted(id_col)).dropna().distinct(), id_col, "left_semi").select(
-            quoted(id_col).alias("id"), quoted(text_col).alias("text")
-        )
-        chosen = rows.orderBy(F.xxhash64("id", "text"), "id").limit(fit_rows)
-        found = chosen.select(describe("text").alias("f")).toPandas()["f"]
-        return np.stack(found.to_list()) if len(found) else np.zeros((0, WIDTH))
-
-    return learn(sample(positives), sample(unlabelled), **options)
+    # Ids and hashes choose the rows; texts stay where they are and meet a broadcast of at most
+    # two times ``fit_rows`` rows.
+    mark = F.xxhash64(quoted(id_col), quoted(text_col)).alias("mark")
+    narrow = docs.select(quoted(id_col).alias("id"), mark)
+
+    def sample(ids: DataFrame, trusted: bool) -> DataFrame:
+        wanted = ids.select(quoted(id_col).alias("id")).dropna().distinct()
+        chosen = narrow.join(wanted, "id", "left_semi").orderBy("mark", "id").limit(fit_rows)
+        return chosen.distinct().withColumn("trusted", F.lit(trusted))
+
+    chosen = sample(positives, True).unionByName(sample(unlabelled, False))
+    rows = docs.select(quoted(id_col).alias("id"), mark, quoted(text_col).alias("text")).join(F.broadcast(chosen), ["id", "mark"])
+    found = rows.select("trusted", "mark", "id", describe("text").alias("f")).orderBy("trusted", "mark", "id").toPandas()
+    part = lambda kind: found["f"][found["trusted"] == kind].to_list()
+    stack = lambda some: np.stack(some) if some else np.zeros((0, WIDTH))
+    return learn(stack(part(True)), stack(part(False)), **options)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
