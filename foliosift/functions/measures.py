@@ -93,12 +93,14 @@ def function_word_hits(col: Column, language: str) -> Column:
 
 
 def detect_language(col: Column) -> Column:
-    """The language with most function-word hits; ties go to the alphabetically last."""
+    """The language with most function-word hits; ties go to the alphabetically last.
+    Null if no function word of any language occurs."""
     scored = [
         F.struct(function_word_hits(col, code).alias("hits"), F.lit(code).alias("lang"))
         for code in sorted(values.FUNCTION_WORDS)
     ]
-    return F.greatest(*scored)["lang"]
+    best = F.greatest(*scored)
+    return F.when(best["hits"] > 0, best["lang"])
 
 
 def letter_words(col: Column) -> Column:

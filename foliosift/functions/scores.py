@@ -14,12 +14,13 @@ def clip_score(col: Column, low: float = values.SCORE_MIN, high: float = values.
 
 
 def score_class(col: Column) -> Column:
-    """Rounded half to even, clipped to the five classes, as int."""
-    return clip_score(F.bround(col, 0)).cast("int")
+    """Rounded half to even, clipped to the five classes, as int; null for NaN."""
+    return F.when(~F.isnan(col.cast("double")), clip_score(F.bround(col, 0)).cast("int"))
 
 
 def is_educational(col: Column, threshold: float = values.EDUCATIONAL_THRESHOLD) -> Column:
-    return col >= F.lit(threshold)
+    """NaN is not educational, although Spark orders it above every number."""
+    return (col >= F.lit(threshold)) & ~F.isnan(col.cast("double"))
 
 
 def lexical_score(col: Column) -> Column:

@@ -58,9 +58,11 @@ def strip_html(col: Column, drop: Sequence[str] = values.DROPPED_ELEMENTS) -> Co
 
     Text without any markup character only has its blanks squeezed.
     """
-    names = "|".join(drop)
-    text = F.regexp_replace(col, rf"(?is)<({names})[^>]*>.*?</({names})>", " ")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->|<[^>]+>", " ")
+    text = col
+    for name in drop:  # each element up to its own end tag; <header> is not <head>
+        text = F.regexp_replace(text, rf"(?is)<{name}\b[^<>]*>.*?</{name}\s*>", " ")
+    # A tag starts with a letter and holds no "<": prose such as "a < b" stays.
+    text = F.regexp_replace(text, r"(?s)<!--.*?-->|<[/!?]?[A-Za-z][^<>]*>", " ")
     for entity, char in values.HTML_ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     has_markup = F.contains(col, F.lit("<")) | F.contains(col, F.lit("&"))

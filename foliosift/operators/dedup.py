@@ -18,6 +18,11 @@ _TEXT_KEY = "text_key"
 _FIRST = "first_id"
 
 
+def _known(id_col: str) -> Column:
+    """The id, or an error for a null: verdicts return by id, so a null id would lose its row."""
+    return F.coalesce(F.col(id_col), F.raise_error(F.lit("duplicate removal needs ids that are not null")))
+
+
 def text_key(col: Column) -> Column:
     return F.md5(col)
 
@@ -31,7 +36,7 @@ def exact_first(
     """
     key = text_key(F.col(text_col)) if key_col is None else F.col(key_col)
     return df.groupBy(key.alias(_TEXT_KEY)).agg(
-        F.min(id_col).alias(_FIRST), F.count(F.lit(1)).alias("copies")
+        F.min(_known(id_col)).alias(_FIRST), F.count(F.lit(1)).alias("copies")
     )
 
 
@@ -58,7 +63,7 @@ def minhash_signature(
     """
     squeezed = squeezed_lower(F.col(text_col))
     texts = df.select(
-        F.col(id_col).alias(_FIRST), text_key(F.col(text_col)).alias(_TEXT_KEY),
+        _known(id_col).alias(_FIRST), text_key(F.col(text_col)).alias(_TEXT_KEY),
         squeezed.alias("squeezed"),
     )
     grams = texts.select(_FIRST, _TEXT_KEY, "squeezed", word_ngrams(F.col("squeezed"), n).alias("g"))

@@ -42,7 +42,7 @@ def accept_language(languages: Sequence[str], min_ratio: float = 0.5) -> Rule:
     known = [code for code in languages if code != "ja"]
 
     def rejects(c: Column) -> Column:
-        keep = measures.detect_language(c).isin(*known) if known else F.lit(False)
+        keep = F.coalesce(measures.detect_language(c).isin(*known), F.lit(False)) if known else F.lit(False)
         if "ja" in languages:
             keep = (measures.has_kana(c) & (measures.japanese_share(c) >= min_ratio)) | keep
         return ~keep

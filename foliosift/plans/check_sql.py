@@ -33,12 +33,12 @@ def members(tokens: str, words) -> str:
 
 
 def language(tokens: str) -> str:
-    """Argmax over the languages, ties to the last name."""
+    """Argmax over the languages, ties to the last name; null without any hit."""
     scored = ", ".join(
         f"{{'n': {members(tokens, words)}, 'lang': {quote(code)}}}"
         for code, words in sorted(values.FUNCTION_WORDS.items())
     )
-    return f"list_max([{scored}]).lang"
+    return f"CASE WHEN list_max([{scored}]).n > 0 THEN list_max([{scored}]).lang END"
 
 
 def content_share(tokens: str, min_words: int = 10) -> str:
@@ -101,8 +101,10 @@ def special(t: str) -> str:
 
 
 def strip_html(t: str) -> str:
-    sql = rf"regexp_replace({t}, '(?is)<(script|style|head)[^>]*>.*?</(script|style|head)>', ' ', 'g')"
-    sql = rf"regexp_replace({sql}, '(?s)<!--.*?-->|<[^>]+>', ' ', 'g')"
+    sql = t
+    for name in values.DROPPED_ELEMENTS:
+        sql = rf"regexp_replace({sql}, '(?is)<{name}\b[^<>]*>.*?</{name}\s*>', ' ', 'g')"
+    sql = rf"regexp_replace({sql}, '(?s)<!--.*?-->|<[/!?]?[A-Za-z][^<>]*>', ' ', 'g')"
     for entity, char in values.HTML_ENTITIES:
         sql = f"replace({sql}, {quote(entity)}, {quote(char)})"
     return rf"trim(regexp_replace({sql}, '[ \t]+', ' ', 'g'))"

@@ -119,14 +119,14 @@ def _measured(name, measure, sql, rejects, sql_rejects):
 
 @query(
     "flt1_accept_language",
-    f"""SELECT doc_id, {q.language('tk')} AS detected, {q.language('tk')} NOT IN {q.in_list(LANGUAGES)} AS rejected
+    f"""SELECT doc_id, {q.language('tk')} AS detected, coalesce({q.language('tk')} NOT IN {q.in_list(LANGUAGES)}, TRUE) AS rejected
         FROM (SELECT doc_id, {q.letter_tokens('text')} AS tk FROM documents)""",
 )
 def _(spark, sf):
     detected = documents(spark, sf).select(
         "doc_id", measures.detect_language(F.col("text")).alias("detected")
     )
-    return detected.select("doc_id", "detected", (~F.col("detected").isin(*LANGUAGES)).alias("rejected"))
+    return detected.select("doc_id", "detected", F.coalesce(~F.col("detected").isin(*LANGUAGES), F.lit(True)).alias("rejected"))
 
 
 @query(
@@ -246,7 +246,7 @@ def cascade_ctes() -> str:
         for name, hits in (("ads", 3), ("adult", 3), ("violence", 3), ("discrimination", 2))
     )
     return rf"""
-    raw AS (SELECT doc_id, text, {q.language('tk')} IN {q.in_list(LANGUAGES)} AS known
+    raw AS (SELECT doc_id, text, coalesce({q.language('tk')} IN {q.in_list(LANGUAGES)}, FALSE) AS known
             FROM (SELECT doc_id, text, {q.letter_tokens('text')} AS tk FROM documents)),
     cleaned AS (SELECT doc_id, CASE WHEN known THEN
                   regexp_replace({_phrases_sql(q.strip_html('text'))},

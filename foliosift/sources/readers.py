@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foliosift.functions.json_values import parse_values
 
 
-def _texts(objects: DataFrame, id_field: str | None) -> DataFrame:
+def _texts(objects: DataFrame, id_field: str | None, id_type: str) -> DataFrame:
     """Variant rows to ``doc_id, text``; rows that are no object or lack a text are skipped."""
     kind = F.schema_of_variant("v")
     # A JSON null under "text" is a text entry; a missing key is not.
@@ -19,16 +19,17 @@ def _texts(objects: DataFrame, id_field: str | None) -> DataFrame:
     text = F.try_variant_get("v", "$.text", "string").alias("text")
     if id_field is None:
         return rows.select(F.monotonically_increasing_id().alias("doc_id"), text)
-    return rows.select(F.try_variant_get("v", f"$.{id_field}", "bigint").alias("doc_id"), text)
+    return rows.select(F.try_variant_get("v", f"$.{id_field}", id_type).alias("doc_id"), text)
 
 
 def read_json_corpus(
-    spark: SparkSession, path: str, lines: bool = False, id_field: str | None = None
+    spark: SparkSession, path: str, lines: bool = False, id_field: str | None = None, id_type: str = "bigint"
 ) -> DataFrame:
     """``doc_id, text`` from JSON array files, or from JSON lines with ``lines=True``.
 
     An array file is read by one task, so a large corpus should come as JSON lines or as
-    many array files. Ids come from ``id_field`` or are numbers that rise in file order;
+    many array files. Ids come from ``id_field`` (``id_type`` "string" for names such as
+    URNs; what does not fit the type is null, and duplicate removal refuses null ids) or are numbers that rise in file order;
     for one array file those are the list positions.
     """
     if lines:
@@ -36,7 +37,7 @@ def read_json_corpus(
     else:
         arrays = parse_values(spark.read.text(path, wholetext=True), "value")
         objects = arrays.select(F.explode(F.col("v").cast("array<variant>")).alias("v"))
-    return _texts(objects, id_field)
+    return _texts(objects, id_field, id_type)
 
 
 def require_input(df: DataFrame) -> DataFrame:

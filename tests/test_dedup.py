@@ -71,3 +71,10 @@ def test_only_narrow_rows_are_shuffled(texts):
     plan = dedup.near_first(texts(["a b"]))._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Join" not in plan and "CartesianProduct" not in plan
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_null_ids_are_refused(spark):
+    rows = spark.createDataFrame([(None, "one text of words"), (1, "another text of words")], "doc_id bigint, text string")
+    for work in (dedup.drop_near_duplicates, dedup.drop_exact_duplicates):
+        with pytest.raises(Exception, match="ids that are not null"):
+            work(rows).collect()

@@ -106,7 +106,7 @@ def test_line_measures_equal_brute_force(texts):
 
 def test_language_and_script(texts):
     df = texts(["the cat and the dog", "der Hund und die Katze ist", "el perro y los gatos con", "le chat et les chiens", "xyz"])
-    assert column(df, M.detect_language(F.col("text"))) == ["en", "de", "es", "fr", "fr"]
+    assert column(df, M.detect_language(F.col("text"))) == ["en", "de", "es", "fr", None]
     df = texts([JA, "English only", "漢字漢字"])
     assert [round(x, 1) for x in column(df, M.japanese_share(F.col("text")))] == [1.0, 0.0, 1.0]
     assert column(df, M.has_kana(F.col("text"))) == [True, False, False]
@@ -136,3 +136,19 @@ def test_scores_clip_and_round_half_even(spark, raw):
         assert clipped == min(max(value, 0.0), 4.0)
         assert grade == int(min(max(round(value), 0), 4))
         assert good == (value >= 2.5)
+
+
+def test_markup_keeps_bodies_and_prose(spark):
+    rows = [
+        ("<header>Site</header><article>The body.</article><script>x</script><p>end</p>", "Site The body. end"),
+        ("<p>if a < b and then c > d holds</p>", "if a < b and then c > d holds"),
+        ("<style>a{}</style >one<head><title>t</title></head>two", "one two"),
+    ]
+    df = spark.createDataFrame(rows, "html string, expected string")
+    for r in df.select(text.strip_html(F.col("html")).alias("got"), "expected").collect():
+        assert r.got == r.expected
+
+
+def test_no_function_word_is_no_language(spark):
+    df = spark.createDataFrame([("日本",), ("qqq zzz",)], "text string")
+    assert {r[0] for r in df.select(M.detect_language(F.col("text"))).collect()} == {None}
