@@ -59,6 +59,21 @@ def char_ngrams(col: Column, n: int) -> Column:
     return F.regexp_extract_all(col, F.lit(pattern), F.lit(1))
 
 
+def plain_words(col: Column) -> Column:
+    """The runs of letters and numbers, in lower case."""
+    return F.regexp_extract_all(F.lower(col), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def joined_ngrams(words: Column, n: int) -> Column:
+    """All overlapping ``n``-grams of an array of words, as strings."""
+    if n == 1:
+        return words
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+    return F.coalesce(
+        F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " ")), F.array().cast("array<string>")
+    )
+
+
 def word_count(squeezed: Column) -> Column:
     """Words of a squeezed text, counted by its single spaces."""
     spaces = F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit("")))

@@ -46,13 +46,17 @@ def flatten_json(
     *keys: str,
     separator: str = ".",
     prefix: str = "",
-    max_depth: int = 8,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """A JSON text column of unknown shape as rows ``(keys…, path, value)``.
 
     Each level opens the objects it finds and keeps everything else, all in one narrow
-    pass; an object below ``max_depth`` levels is an error, never dropped.
+    pass. The number of levels comes from one look at the brackets of all texts; a smaller
+    ``max_depth`` is an error where an object lies deeper, never a cut. A JSON null is a null
+    value.
     """
+    if max_depth is None:
+        max_depth = df.agg(F.max(_bracket_depth(F.col(column)))).first()[0] or 0
     rows = parse_values(df, column, *keys, name="node").withColumn("path", F.lit(prefix))
     for _ in range(max_depth):
         rows = rows.withColumn("opened", _members("node"))
@@ -60,10 +64,25 @@ def flatten_json(
         rows = rows.select(*keys, "child.path", "child.node")
     text = F.when(
         _members("node").isNotNull(), F.raise_error(F.lit(_DEEPER)).cast("string")
-    ).otherwise(F.coalesce(F.try_variant_get("node", "$", "string"), F.to_json("node")))
+    ).when(~F.is_variant_null("node"), F.coalesce(F.try_variant_get("node", "$", "string"), F.to_json("node")))
     return rows.select(*keys, "path", text.alias("value"))
 
 
+def _bracket_depth(col: Column) -> Column:
+    """How deep brackets nest outside of string literals."""
+    # Escaped characters go first, so that every quote left is the end of a string.
+    unescaped = F.regexp_replace(col, r"(?s)\\.", "")
+    bare = F.regexp_replace(F.regexp_replace(unescaped, r'"[^"]*"', ""), r"[^{}\[\]]+", "")
+    steps = F.transform(F.split(bare, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(seen: Column, change: Column) -> Column:
+        now = seen["now"] + change
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    return F.aggregate(steps, start, step, lambda seen: seen["most"])
+
+
 def _members(node: str) -> Column:
     """The members of an object; null for anything else."""
     return F.try_variant_get(node, "$", "map<string,variant>")

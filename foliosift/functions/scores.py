@@ -10,12 +10,14 @@ from foliosift.functions import measures
 
 
 def clip_score(col: Column, low: float = values.SCORE_MIN, high: float = values.SCORE_MAX) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), col))
+    """Null and NaN give null: ``least`` alone would skip them and grade them ``high``."""
+    known = col.isNotNull() & ~F.isnan(col.cast("double"))
+    return F.when(known, F.greatest(F.lit(low), F.least(F.lit(high), col)))
 
 
 def score_class(col: Column) -> Column:
-    """Rounded half to even, clipped to the five classes, as int; null for NaN."""
-    return F.when(~F.isnan(col.cast("double")), clip_score(F.bround(col, 0)).cast("int"))
+    """Rounded half to even, clipped to the five classes, as int; null for NaN and null."""
+    return clip_score(F.bround(col, 0)).cast("int")
 
 
 def is_educational(col: Column, threshold: float = values.EDUCATIONAL_THRESHOLD) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Sequence
 from functools import reduce
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -53,20 +54,53 @@ _FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 _HALF_WIDTH = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 
 
+def decode_entities(col: Column) -> Column:
+    """Named (HTML 4) and numeric character references as characters, in one pass.
+
+    A no-break space becomes a space; what is no reference, or names no character, stays.
+    """
+
+    def decoded(part: Column, place: Column) -> Column:
+        name = F.regexp_extract(F.substring(part, 1, 34), r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", 1)
+        number = (
+            F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10))
+            .when(F.startswith(name, F.lit("#")), F.substring(name, 2, 7))
+            .when(name != "", F.try_element_at(_entity_numbers(), name))
+            .cast("int")
+        )
+        number = F.when(number == 160, 32).otherwise(number)
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        read = F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
+        return F.when(place == 0, part).otherwise(read)
+
+    return F.array_join(F.transform(F.split(col, "&"), decoded), "")
+
+
+def _entity_numbers() -> Column:
+    pairs = [F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, str(code))]
+    return F.create_map(*pairs)
+
+
 def strip_html(col: Column, drop: Sequence[str] = values.DROPPED_ELEMENTS) -> Column:
     """Drop tags, comments and ``drop`` elements, decode entities, squeeze blanks.
 
-    Text without any markup character only has its blanks squeezed.
+    The title stays. A dropped element or comment without an end runs to the end of the text,
+    as in a browser, which also keeps the scan linear. Text without any markup character only
+    has its blanks squeezed.
     """
     text = col
-    for name in drop:  # each element up to its own end tag; <header> is not <head>
-        text = F.regexp_replace(text, rf"(?is)<{name}\b[^<>]*>.*?</{name}\s*>", " ")
+    for name in drop:  # each element up to its own end tag
+        text = F.regexp_replace(text, rf"(?is)<{name}\b[^<>]*>(?:.*?</{name}\s*>|.*)", " ")
     # A tag starts with a letter and holds no "<": prose such as "a < b" stays.
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->|<[/!?]?[A-Za-z][^<>]*>", " ")
-    for entity, char in values.HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    has_markup = F.contains(col, F.lit("<")) | F.contains(col, F.lit("&"))
-    return F.trim(F.regexp_replace(F.when(has_markup, text).otherwise(col), r"[ \t]+", " "))
+    text = F.regexp_replace(text, r"(?s)<!--(?:.*?-->|.*)|<[/!?]?[A-Za-z][^<>]*>", " ")
+    bare = (
+        F.when(F.contains(col, F.lit("&")), decode_entities(text))
+        .when(F.contains(col, F.lit("<")), text)
+        .otherwise(col)
+    )
+    return F.trim(F.regexp_replace(bare, r"[ \t]+", " "))
 
 
 def strip_html_parsed(col: Column, drop: Sequence[str] = ("script", "style")) -> Column:
@@ -113,8 +147,11 @@ def remove_phrases(col: Column, phrases: Sequence[str] = values.BOILERPLATE_PHRA
 
 
 def strip_emojis(col: Column) -> Column:
-    """Remove emoji, joiners and variation selectors; digits and ``#`` stay."""
-    return F.regexp_replace(col, values.EMOJI_CLASS + "+", "")
+    """Remove emoji with their joiners, tags and variation selectors.
+
+    Digits and ``#`` stay, and so do joiners away from emoji, which Indic scripts need.
+    """
+    return F.regexp_replace(col, values.EMOJI, "")
 
 
 @F.pandas_udf(T.StringType())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -13,6 +14,8 @@ from foliosift import values
 from foliosift.functions.annotations import TASKS, annotation, build_prompt
 from foliosift.operators.joins import attach_annotations
 
+_ANSWERS = "_answers"
+
 
 def with_prompts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``<task>_prompt`` columns."""
@@ -38,12 +41,14 @@ class CallableAnnotator:
 
     The client is called as ``client(prompt, schema, **options)`` and returns JSON text or
     None. A call is tried ``attempts`` times; after that, or for an empty answer, the
-    field holds the placeholder and the run goes on. Rows stream through in Arrow
-    batches, so parallelism is the number of partitions.
+    field holds the placeholder and the run goes on. Before the second try it waits ``pause``
+    seconds, doubled for every further one. Only the prompts travel to Python, in Arrow
+    batches; parallelism is the number of partitions.
     """
 
     make_client: Callable
     attempts: int = 1
+    pause: float = 0.0
     options: dict = field(default_factory=lambda: dict(values.SAMPLING_DEFAULTS))
 
     def __post_init__(self):
@@ -52,10 +57,13 @@ class CallableAnnotator:
 
     def annotate(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         make_client, attempts, options = self.make_client, self.attempts, dict(self.options)
+        pause = self.pause
         schemas = {name: task.json_schema() for name, task in TASKS.items()}
 
         def ask(client, prompt, schema):
-            for _ in range(attempts):
+            for attempt in range(attempts):
+                if attempt and pause:
+                    time.sleep(pause * 2 ** (attempt - 1))
                 try:
                     answer = client(prompt, schema, **options)
                 except Exception:  # a failed call must not end the run
@@ -64,20 +72,20 @@ class CallableAnnotator:
                     return answer
             return None
 
-        def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        @F.pandas_udf(", ".join(f"`{name}` string" for name in TASKS))
+        def answers(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             client = make_client()
-            for batch in batches:
-                for name, schema in schemas.items():
-                    prompts = batch.pop(f"{name}_prompt")
-                    batch[name] = [ask(client, prompt, schema) for prompt in prompts]
-                yield batch
-
-        prompted = with_prompts(df, text_col)
-        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-        answered = prompted.mapInPandas(
-            answers, ", ".join(fields + [f"`{name}` string" for name in TASKS])
-        )
-        records = [annotation(F.col(name), task).alias(task.output) for name, task in TASKS.items()]
+            for prompts in batches:
+                yield pd.DataFrame(
+                    {
+                        name: [ask(client, prompt, schema) for prompt in column]
+                        for (name, schema), column in zip(schemas.items(), prompts)
+                    }
+                )
+
+        prompts = [build_prompt(F.col(text_col), task) for task in TASKS.values()]
+        answered = df.select("*", answers(*prompts).alias(_ANSWERS))
+        records = [annotation(F.col(_ANSWERS)[name], task).alias(task.output) for name, task in TASKS.items()]
         return answered.select(*df.columns, *records)
 
 

@@ -24,7 +24,15 @@ def _known(id_col: str) -> Column:
 
 
 def text_key(col: Column) -> Column:
-    return F.md5(col)
+    """Never null, so that texts can be found again by it; a missing text has a key of its own."""
+    return F.coalesce(F.md5(col), F.lit(""))
+
+
+def _keep(df: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` named by (id, text key); of rows equal in both, one."""
+    keys = [id_col, _TEXT_KEY]
+    keyed = df.select("*", text_key(F.col(text_col)).alias(_TEXT_KEY))
+    return keyed.join(kept.select(*keys), keys, "left_semi").dropDuplicates(keys).select(*df.columns)
 
 
 def exact_first(
@@ -43,8 +51,9 @@ def exact_first(
 def drop_exact_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    keep = exact_first(df, id_col, text_col).select(F.col(_FIRST).alias(id_col))
-    return df.join(keep, id_col, "left_semi")
+    """One row per distinct text. Ids may repeat, but must not be null."""
+    kept = exact_first(df, id_col, text_col).withColumnRenamed(_FIRST, id_col)
+    return _keep(df, kept, id_col, text_col)
 
 
 def shingle_value(shingle: Column) -> Column:
@@ -81,7 +90,7 @@ def minhash_signature(
 
 
 def band_keys(signatures: DataFrame, bands: int = values.MINHASH_BANDS) -> DataFrame:
-    """``first_id, band, r0 … r3``: the LSH keys of every signature, one row per band."""
+    """``first_id, text_key, band, r0 … r3``: the LSH keys of every signature, one row per band."""
     rows = len(values.MINHASH_COEFFICIENTS) // bands
     per_band = [
         F.struct(
@@ -90,13 +99,14 @@ def band_keys(signatures: DataFrame, bands: int = values.MINHASH_BANDS) -> DataF
         )
         for band in range(bands)
     ]
-    return signatures.select(_FIRST, F.inline(F.array(*per_band)))
+    return signatures.select(_FIRST, _TEXT_KEY, F.inline(F.array(*per_band)))
 
 
 def bucket_first(keys: DataFrame) -> DataFrame:
-    """The smallest id of every LSH bucket."""
+    """The smallest id of every LSH bucket; of two texts under one id, that with the smaller key."""
     rows = [name for name in keys.columns if name.startswith("r")]
-    return keys.groupBy("band", *rows).agg(F.min(_FIRST).alias(_FIRST))
+    firsts = keys.groupBy("band", *rows).agg(F.min(F.struct(_FIRST, _TEXT_KEY)).alias("first"))
+    return firsts.select("band", *rows, "first.*")
 
 
 def near_first(
@@ -106,22 +116,23 @@ def near_first(
     n: int = values.SHINGLE_WORDS,
     bands: int = values.MINHASH_BANDS,
 ) -> DataFrame:
-    """Ids of the documents that are kept, in column ``id_col``.
+    """Ids and text keys of the documents that are kept, in ``id_col`` and ``text_key``.
 
     A document is kept if no bucket of it holds a smaller id. It has one bucket per band,
     so that is the same as being the smallest id of ``bands`` buckets: counting wins
     replaces the join of every document with its buckets.
     """
     firsts = bucket_first(band_keys(minhash_signature(df, id_col, text_col, n), bands))
-    wins = firsts.groupBy(F.col(_FIRST).alias(id_col)).agg(F.count(F.lit(1)).alias("wins"))
-    return wins.where(F.col("wins") == bands).select(id_col)
+    winner = (F.col(_FIRST).alias(id_col), _TEXT_KEY)
+    wins = firsts.groupBy(*winner).agg(F.count(F.lit(1)).alias("wins"))
+    return wins.where(F.col("wins") == bands).select(id_col, _TEXT_KEY)
 
 
 def drop_near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
     """Keep the documents of :func:`near_first`, exact copies dropped with the rest."""
-    return df.join(near_first(df, id_col, text_col, **settings), id_col, "left_semi")
+    return _keep(df, near_first(df, id_col, text_col, **settings), id_col, text_col)
 
 
 def mark_duplicates(
@@ -134,13 +145,20 @@ def mark_duplicates(
 ) -> DataFrame:
     """Give accepted rows the reason ``exact_duplicate`` or ``near_duplicate``.
 
-    Rows that already carry a reason take no part and keep it. ``df`` is read three times
-    (signatures, keys, result), so it should be a stored table.
+    Rows that already carry a reason take no part and keep it. Rows with equal id and text
+    share one verdict. ``df`` is read three times (signatures, keys, result), so it should be a
+    stored table.
     """
+    keys = [id_col, _TEXT_KEY]
+    columns = df.columns
+    if key_col is None:
+        df = df.withColumn(_TEXT_KEY, text_key(F.col(text_col)))
+    elif key_col != _TEXT_KEY:
+        df = df.withColumn(_TEXT_KEY, F.col(key_col))
     open_rows = df.where(F.col(reason_col).isNull())
     kept = near_first(open_rows, id_col, text_col, **settings).withColumn("_kept", F.lit(True))
-    first = exact_first(open_rows, id_col, text_col, key_col).select(
-        F.col(_FIRST).alias(id_col), F.lit(True).alias("_first")
+    first = exact_first(open_rows, id_col, text_col, _TEXT_KEY).select(
+        F.col(_FIRST).alias(id_col), _TEXT_KEY, F.lit(True).alias("_first")
     )
     reason = (
         F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
@@ -148,9 +166,5 @@ def mark_duplicates(
         .when(F.col("_first"), F.lit("near_duplicate"))
         .otherwise(F.lit("exact_duplicate"))
     )
-    verdict = first.join(kept, id_col, "left")
-    return (
-        df.join(verdict, id_col, "left")
-        .withColumn(reason_col, reason)
-        .drop("_kept", "_first")
-    )
+    verdict = first.join(kept, keys, "left")
+    return df.join(verdict, keys, "left").withColumn(reason_col, reason).select(*columns)

@@ -15,6 +15,7 @@ from foliosift import values
 from foliosift.functions.measures import share
 from foliosift.functions.scores import clip_score, is_educational, score_class
 from foliosift.functions.text import preview
+from foliosift.session import materialise
 
 
 def corpus_size(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -212,12 +213,30 @@ def extreme_examples(
 ) -> DataFrame:
     """The ``n`` highest and ``n`` lowest scores with a preview of the text.
 
-    Two top-k over the narrow ``(id, score)`` first; previews are cut per row before the sort.
+    Ids must be unique. Scores are computed once and stored with the ids; two top-k over that
+    narrow table name at most ``2 * n`` rows, and only these look up their texts.
     """
-    rows = scored.select(
-        id_col, "score", clip_score(F.col("score")).alias("clipped_score"), "is_educational",
-        preview(F.col(text_col), length).alias("preview"),
+    narrow = materialise(
+        scored.select(
+            id_col, "score", clip_score(F.col("score")).alias("clipped_score"), "is_educational"
+        ),
+        "scores",
+    )
+    high = narrow.orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
+    low = narrow.orderBy(F.col("score").asc(), F.col(id_col).desc()).limit(n)
+    picked = high.withColumn("side", F.lit("high")).unionByName(low.withColumn("side", F.lit("low")))
+    texts = scored.select(id_col, preview(F.col(text_col), length).alias("preview"))
+    found = texts.join(F.broadcast(picked), id_col)  # 2 * n rows
+    is_high = F.col("side") == "high"
+    return found.select(id_col, "score", "clipped_score", "is_educational", "preview", "side").orderBy(
+        "side",
+        F.when(is_high, -F.col("score")).otherwise(F.col("score")),
+        F.when(is_high, F.col(id_col)),
+        F.col(id_col).desc(),
     )
-    high = rows.orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
-    low = rows.orderBy(F.col("score").asc(), F.col(id_col).desc()).limit(n)
-    return high.withColumn("side", F.lit("high")).unionByName(low.withColumn("side", F.lit("low")))
+
+
+def count_unscored(df: DataFrame, score: str = "score", truth: str = "truth") -> DataFrame:
+    """One row: all rows and those that no confusion matrix can hold (no score or no truth)."""
+    missing = score_class(F.col(score)).isNull() | score_class(F.col(truth)).isNull()
+    return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(missing).alias("unscored"))

@@ -28,8 +28,7 @@ def with_position(
     rows spreads as well and numbers do not depend on the partitioning.
     """
     keys = [F.col(g) for g in within] + [F.col(o) if isinstance(o, str) else o for o in order]
-    hashable = [_quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    keys.append(F.xxhash64(*hashable))
+    keys.append(row_hash(df))
     address = F.monotonically_increasing_id()
     placed = materialise(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_address", address)
@@ -62,6 +61,12 @@ def with_position(
     return placed.join(offsets, on).select(*[_quoted(c) for c in df.columns], position.alias(name))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, leaving out columns of types that Spark cannot hash."""
+    hashable = [_quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
+
+
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

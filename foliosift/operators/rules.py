@@ -118,7 +118,7 @@ def lexicons_from_table(table: DataFrame, max_terms: int = 10_000) -> dict[str,
     """Term lists per category from a ``(category, term)`` table.
 
     The terms become part of the plan, so a table with more than ``max_terms`` rows is an
-    error.
+    error; :func:`attach_lexicon_hits` takes tables of any size.
     """
     rows = table.select("category", "term").distinct().limit(max_terms + 1).collect()
     if len(rows) > max_terms:
@@ -129,6 +129,36 @@ def lexicons_from_table(table: DataFrame, max_terms: int = 10_000) -> dict[str,
     return lexicons
 
 
+def attach_lexicon_hits(
+    df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16
+) -> DataFrame:
+    """``df`` with the map column ``lexicon_hits``: occurrences of terms per category.
+
+    ``lexicon`` holds ``(category, term)`` in any number; a term is one or more whole words
+    (runs of letters and numbers), compared in lower case. The texts' word n-grams, counted per
+    document, meet the terms in a join; each term is copied ``salts`` times, so that a term of
+    every document spreads. Ids must be unique. A rule reads the column beside the text:
+    ``Rule("ads", lambda c: F.coalesce(F.col("lexicon_hits")["ads"], F.lit(0)) >= 3)``.
+    """
+    terms = lexicon.select("category", F.array_join(measures.plain_words(F.col("term")), " ").alias("term"))
+    terms = terms.where("term <> ''").distinct()
+    # As many small numbers as terms have different lengths in words.
+    sizes = terms.agg(F.collect_set(F.size(F.split("term", " ")))).first()[0]
+    if not sizes:
+        return df.withColumn("lexicon_hits", F.lit(None).cast("map<string,bigint>"))
+    words = df.select(F.col(id_col).alias("id"), measures.plain_words(F.col(text_col)).alias("w"))
+    grams = F.flatten(F.array(*[measures.joined_ngrams(F.col("w"), n) for n in sorted(sizes)]))
+    counted = words.select("id", F.explode(grams).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counted.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    copies = terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    hits = dealt.join(copies, ["term", "salt"]).groupBy("id", "category").agg(F.sum("n").alias("n"))
+    # One entry per category of the lexicon.
+    per_doc = hits.groupBy(F.col("id").alias(id_col)).agg(
+        F.map_from_entries(F.collect_list(F.struct("category", "n"))).alias("lexicon_hits")
+    )
+    return df.join(per_doc, id_col, "left")
+
+
 def special_tokens(threshold: float = 0.4) -> Rule:
     return Rule("special_tokens", lambda c: measures.special_share(c) > threshold)
 

@@ -12,7 +12,7 @@ from foliosift.plans import check_sql as q
 from foliosift.plans.curation import curate
 from foliosift.plans.registry import query
 from foliosift.plans.text_queries import cascade_ctes, documents, driver_rules
-from foliosift.session import scratch_path, table
+from foliosift.session import input_partitions, scratch_path, table
 
 # --- Duplicates -----------------------------------------------------------------------
 
@@ -50,6 +50,20 @@ def _(spark, sf):
     return dedup.mark_duplicates(open_docs).select("doc_id", "reject_reason")
 
 
+@query(
+    "ded2_shared_and_text_ids",
+    f"""WITH docs AS (SELECT row_number() OVER (ORDER BY doc_id // 2, md5(text)) AS doc_id, doc_id // 2 AS shared, text FROM documents),
+        {q.minhash_ctes('docs')}
+        SELECT 'urn:' || lpad(shared::VARCHAR, 12, '0') AS doc_id, md5(text) AS text_md5
+        FROM docs SEMI JOIN firsts USING (doc_id) ANTI JOIN near USING (doc_id)""",
+)
+def _(spark, sf):
+    # Ids are texts, and two neighbours share one.
+    urn = F.concat(F.lit("urn:"), F.lpad(F.expr("doc_id div 2").cast("string"), 12, "0"))
+    shared = documents(spark, sf).withColumn("doc_id", urn)
+    return dedup.drop_near_duplicates(shared).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 @query(
     "ded3_drop_exact_duplicates",
     "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY md5(text)",
@@ -84,12 +98,23 @@ def _(spark, sf):
     return lexical(spark, sf).select("doc_id", F.round("score", 6).alias("score"), "is_educational")
 
 
-@query("udf3_score_ml")
+@query(
+    "udf3_score_ml",
+    "SELECT count(*)::BIGINT AS documents, count(*)::BIGINT AS in_range, true AS good_above_bad FROM documents",
+)
 def _(spark, sf):
+    # A fitted model's scores are no matter of SQL; what must hold of them is.
     docs = documents(spark, sf)
     labelled = docs.join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id")
     scorer = scoring.MlScorer.fit(labelled)
-    return scoring.score_texts(docs, scorer).select("doc_id", "score", "is_educational")
+    scored = scoring.score_texts(docs, scorer).select("doc_id", "score")
+    known = scored.join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id", "left")
+    mean = [F.avg(F.when(F.col("quality") == label, F.col("score"))) for label in (0, 1)]
+    return known.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col("score").between(0, 4)).alias("in_range"),
+        (mean[1] > mean[0]).alias("good_above_bad"),
+    )
 
 
 def length_model():
@@ -118,17 +143,17 @@ def _(spark, sf):
 
 # --- Annotations --------------------------------------------------------------------------
 
-_USERS = "(SELECT conv_id, turn, text FROM conversations WHERE role = 'user')"
+_TURNS = "(SELECT conv_id, turn, text FROM conversations)"
 _KEYS = ("conv_id", "turn")
 
 
 def requests(spark, sf):
-    return table(spark, sf, "conversations").where("role = 'user'").select(*_KEYS, "text")
+    return table(spark, sf, "conversations", *_KEYS, "text")
 
 
 def recorded(spark, sf):
     """Recorded answers per request and task: valid, unknown value, cut off, or absent."""
-    users = requests(spark, sf)
+    turns = requests(spark, sf)
     seed = F.col("conv_id") * 3 + F.col("turn")
 
     def pick(allowed, shift):
@@ -150,7 +175,7 @@ def recorded(spark, sf):
             F.array(pick(values.TASK_TAGS, 5), F.when(bad, "Chatting").otherwise(pick(values.TASK_TAGS, 7))).alias("other_tags"),
         ),
     }
-    rows = users.select(
+    rows = turns.select(
         *_KEYS,
         F.inline(F.array(*[
             F.struct(F.lit(task).alias("task"), F.to_json(body).alias("response"))
@@ -158,7 +183,10 @@ def recorded(spark, sf):
         ])),
     )
     cut = F.when(F.pmod(seed, F.lit(7)) == 0, F.expr("left(response, length(response) - 4)")).otherwise(F.col("response"))
-    return rows.where(F.pmod(seed, F.lit(11)) != 0).withColumn("response", cut)
+    answered = rows.where(F.pmod(seed, F.lit(11)) != 0).withColumn("response", cut)
+    # Some got a second answer that says nothing; a valid one has to win over it.
+    second = answered.where(F.pmod(seed, F.lit(3)) == 0).withColumn("response", F.lit("~ sorry"))
+    return answered.unionByName(second)
 
 
 def _pick_sql(allowed, shift):
@@ -172,14 +200,14 @@ _ANSWERS = f"""answers AS (SELECT conv_id, turn, text, seed, seed % 11 <> 0 AS p
       CASE WHEN seed % 5 = 0 THEN NULL ELSE {_pick_sql(values.QUALITY_LEVELS, 1)} END AS quality,
       {_pick_sql(values.TASK_TAGS, 2)} AS primary_tag,
       {_pick_sql(values.TASK_TAGS, 5)} || '|' || CASE WHEN seed % 5 = 0 THEN 'Chatting' ELSE {_pick_sql(values.TASK_TAGS, 7)} END AS other_tags
-    FROM (SELECT *, conv_id * 3 + turn AS seed FROM {_USERS})),
+    FROM (SELECT *, conv_id * 3 + turn AS seed FROM {_TURNS})),
     checked AS (SELECT *, present AND NOT cut AS parsed, present AND NOT cut AND NOT bad AS valid FROM answers)"""
 
 
 @query(
     "prj9_build_prompt",
     " UNION ALL ".join(
-        f"SELECT conv_id, turn, '{name}' AS task, replace({q.quote(task.template)}, '{{input}}', text) AS prompt FROM {_USERS}"
+        f"SELECT conv_id, turn, '{name}' AS task, replace({q.quote(task.template)}, '{{input}}', text) AS prompt FROM {_TURNS}"
         for name, task in A.TASKS.items()
     ),
 )
@@ -196,6 +224,7 @@ def _wide(spark, sf):
 @query(
     "prj10_parse_annotation",
     f"""WITH {_ANSWERS} SELECT conv_id, turn, CASE WHEN parsed THEN intent END AS intent,
+          CASE WHEN parsed THEN 'general facts' END AS knowledge, CASE WHEN parsed THEN 'short but clear' END AS explanation,
           CASE WHEN parsed THEN difficulty END AS difficulty, CASE WHEN parsed THEN quality END AS quality,
           CASE WHEN parsed THEN primary_tag END AS primary_tag, CASE WHEN parsed THEN other_tags END AS other_tags
         FROM checked WHERE present""",
@@ -206,7 +235,8 @@ def _(spark, sf):
     )
     tags = F.col("classification.other_tags")
     return parsed.select(
-        *_KEYS, "difficulty.intent", "difficulty.difficulty", "quality.quality",
+        *_KEYS, "difficulty.intent", "difficulty.knowledge", "difficulty.difficulty",
+        "quality.explanation", "quality.quality",
         "classification.primary_tag",
         F.when(tags.isNotNull(), F.array_join(tags, "|")).alias("other_tags"),
     )
@@ -227,21 +257,31 @@ def _(spark, sf):
 @query(
     "prj12_with_error_placeholder",
     f"""WITH {_ANSWERS} SELECT conv_id, turn, CASE WHEN valid THEN difficulty END AS difficulty,
-          CASE WHEN NOT valid THEN 'Failed to get difficulty' END AS error FROM checked WHERE present""",
+          CASE WHEN NOT valid THEN 'Failed to get difficulty' END AS difficulty_error,
+          CASE WHEN valid THEN quality END AS quality, CASE WHEN NOT valid THEN 'Failed to get quality' END AS quality_error,
+          CASE WHEN valid THEN primary_tag END AS primary_tag,
+          CASE WHEN NOT valid THEN 'Failed to get classification' END AS classification_error
+        FROM checked WHERE present""",
 )
 def _(spark, sf):
-    record = A.annotation(F.col("difficulty"), A.DIFFICULTY).alias("r")
-    return _wide(spark, sf).select(*_KEYS, record).select(*_KEYS, "r.difficulty", "r.error")
+    records = [A.annotation(F.col(name), task).alias(f"{name}_record") for name, task in A.TASKS.items()]
+    return _wide(spark, sf).select(*_KEYS, *records).select(
+        *_KEYS, "difficulty_record.difficulty", "quality_record.quality", "classification_record.primary_tag",
+        *[F.col(f"{name}_record.error").alias(f"{name}_error") for name in A.TASKS],
+    )
 
 
 _ANNOTATED = f"""WITH {_ANSWERS} SELECT conv_id, turn,
       CASE WHEN valid THEN difficulty END AS difficulty, CASE WHEN NOT valid THEN 'Failed to get difficulty' END AS difficulty_error,
       CASE WHEN valid THEN quality END AS quality, CASE WHEN NOT valid THEN 'Failed to get quality' END AS quality_error,
-      CASE WHEN valid THEN primary_tag END AS primary_tag, CASE WHEN NOT valid THEN 'Failed to get classification' END AS tag_error
+      CASE WHEN valid THEN primary_tag END AS primary_tag, CASE WHEN NOT valid THEN 'Failed to get classification' END AS tag_error,
+      CASE WHEN valid THEN intent END AS intent, CASE WHEN valid THEN 'general facts' END AS knowledge,
+      CASE WHEN valid THEN 'short but clear' END AS explanation, CASE WHEN valid THEN other_tags END AS other_tags
     FROM checked"""
 
 
 def _annotated_columns(df):
+    tags = F.col("classification.other_tags")
     return df.select(
         *_KEYS,
         F.col("difficulty_rating.difficulty").alias("difficulty"),
@@ -250,6 +290,10 @@ def _annotated_columns(df):
         F.col("quality_rating.error").alias("quality_error"),
         F.col("classification.primary_tag").alias("primary_tag"),
         F.col("classification.error").alias("tag_error"),
+        "difficulty_rating.intent",
+        "difficulty_rating.knowledge",
+        "quality_rating.explanation",
+        F.when(tags.isNotNull(), F.array_join(tags, "|")).alias("other_tags"),
     )
 
 
@@ -297,7 +341,12 @@ def _client_sql():
         picked = f"[{', '.join(q.quote(v) for v in allowed)}][{n} % {len(allowed)} + 1]"
         columns.append(f"CASE WHEN {n} % 11 <> 0 THEN {picked} END AS {field}")
         columns.append(f"CASE WHEN {n} % 11 = 0 THEN {q.quote(task.error)} END AS {error}")
-    return f"SELECT conv_id, turn, {', '.join(columns)} FROM {_USERS}"
+    n = {name: f"length(replace({q.quote(task.template)}, '{{input}}', text))" for name, task in A.TASKS.items()}
+    said = f"CASE WHEN {n['difficulty']} % 11 <> 0 THEN {n['difficulty']} || ' characters' END"
+    columns += [f"{said} AS intent", f"{said} AS knowledge"]
+    columns.append(f"CASE WHEN {n['quality']} % 11 <> 0 THEN {n['quality']} || ' characters' END AS explanation")
+    columns.append(f"CASE WHEN {n['classification']} % 11 <> 0 THEN {q.quote('|'.join(values.TASK_TAGS[:2]))} END AS other_tags")
+    return f"SELECT conv_id, turn, {', '.join(columns)} FROM {_TURNS}"
 
 
 @query("udf4_annotate_callable", _client_sql())
@@ -376,6 +425,7 @@ def run_everything(spark, sf):
         scoring.LexicalScorer(),
         annotate.TableAnnotator(_doc_answers(spark, sf)),
         scratch_path(spark, "curated"),
+        partitions=input_partitions(spark),
     )
 
 

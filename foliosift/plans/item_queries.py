@@ -10,7 +10,7 @@ from foliosift.operators import items, numbering
 from foliosift.plans import check_sql as q
 from foliosift.plans.curation_queries import _doc_answers, lexical
 from foliosift.plans.registry import query
-from foliosift.session import scratch_path, spread, table
+from foliosift.session import input_partitions, scratch_path, spread, table
 from foliosift.operators.annotate import TableAnnotator, assemble_result
 from foliosift.sources import readers, writers
 
@@ -167,8 +167,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "report")
     validated = items.validate_items(gappy_items(spark, sf))
-    valid, _ = items.split_valid(validated)
-    writers.write_recovery_report(validated, items.process(valid, items.double_value), path)
+    writers.write_recovery_report(validated, items.double_value, path)
     summary = spark.read.schema("total_input bigint, successful bigint, failed bigint").json(f"{path}/summary")
     parts = summary.select(
         F.lit("summary").alias("part"), F.col("total_input").alias("items"), F.col("successful").alias("total")
@@ -204,15 +203,18 @@ def _(spark, sf):
     """SELECT event_id, 'type' AS path, event_type AS value FROM events
        UNION ALL SELECT event_id, 'body.user', user_id::VARCHAR FROM events
        UNION ALL SELECT event_id, 'body.props.k', json_extract_string(props, '$.k') FROM events
-       UNION ALL SELECT event_id, 'body.list', '[1,2]' FROM events""",
+       UNION ALL SELECT event_id, 'body.list', '[1,2]' FROM events
+       UNION ALL SELECT event_id, 'body.nothing', NULL FROM events
+       UNION ALL SELECT event_id, 'body.word', 'null' FROM events
+       UNION ALL SELECT event_id, 'body.yes', 'true' FROM events""",
 )
 def _(spark, sf):
-    events = spread(table(spark, sf, "events", "event_id", "event_type", "user_id", "props"), "event_id")
+    events = spread(table(spark, sf, "events", "event_id", "event_type", "user_id", "props"), "event_id", input_partitions(spark))
     nested = F.concat(
-        F.lit('{"type": "'), "event_type", F.lit('", "none": {}, "body": {"list": [1, 2], "user": '),
+        F.lit('{"type": "'), "event_type", F.lit('", "none": {}, "body": {"list": [1, 2], "nothing": null, "word": "null", "yes": true, "user": '),
         F.col("user_id").cast("string"), F.lit(', "props": '), "props", F.lit("}}"),
     )
-    return records.flatten_json(events.select("event_id", nested.alias("j")), "j", "event_id", max_depth=4)
+    return records.flatten_json(events.select("event_id", nested.alias("j")), "j", "event_id")
 
 
 @query("prj8_process", f"SELECT id, name, value * 2 AS value, true AS processed FROM {_PART}")
@@ -401,8 +403,27 @@ def _(spark, sf):
 def _(spark, sf):
     spec = [("o_orderstatus", "asc"), ("o_totalprice", "desc"), ("o_orderkey", "asc")]
     orders = table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
-    # The place of every row, so that a check that ignores row order still sees the order.
-    return numbering.with_position(orders, items.order_columns(spec), name="place").select("o_orderkey", "place")
+    # The place of every sorted row, so that a check that ignores row order still sees the order.
+    placed = items.sort_spec(orders, spec).withColumn("at", F.monotonically_increasing_id())
+    return numbering.with_position(placed, ["at"], name="place").select("o_orderkey", "place")
+
+
+@query("src6_read_table_file", "SELECT c_custkey, c_name, c_acctbal, 'csv' AS kind FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal, 'json' FROM customer UNION ALL SELECT NULL, c_name, NULL, 'txt' FROM customer")
+def _(spark, sf):
+    customers = table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal")
+    path = {kind: scratch_path(spark, kind) for kind in ("csv", "json", "txt")}
+    customers.write.csv(path["csv"], header=True)
+    customers.write.json(path["json"])
+    customers.select("c_name").write.text(path["txt"])
+    schema = "c_custkey bigint, c_name string, c_acctbal double"
+    frames = [readers.read_table_file(spark, path[kind], kind, schema) for kind in ("csv", "json")]
+    lines = readers.read_table_file(spark, path["txt"], "txt").select(
+        F.lit(None).cast("bigint").alias("c_custkey"), F.col("value").alias("c_name"), F.lit(None).cast("double").alias("c_acctbal")
+    )
+    out = lines.withColumn("kind", F.lit("txt"))
+    for kind, frame in zip(("csv", "json"), frames):
+        out = out.unionByName(frame.withColumn("kind", F.lit(kind)))
+    return out
 
 
 @query(
@@ -423,3 +444,19 @@ def _(spark, sf):
     orders = table(spark, sf, "orders", "o_orderkey", "o_totalprice", "o_orderdate")
     page = items.page(orders, 21, 500, [("o_orderdate", "desc"), ("o_orderkey", "asc")])
     return page.select("o_orderkey", "o_totalprice")
+
+
+@query(
+    "srt3_tied_pages",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*)::BIGINT AS times FROM lineitem GROUP BY ALL",
+)
+def _(spark, sf):
+    """All pages over keys that are all equal: every row stands on exactly one page."""
+    rows = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").withColumn("tie", F.lit(1))
+    size = max(1, -(-rows.count() // 4))
+    parts = [items.page(rows, number, size, [("tie", "asc")]) for number in (1, 2, 3, 4)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return out.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))

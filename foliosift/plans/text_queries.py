@@ -9,7 +9,7 @@ from foliosift.functions import measures, text
 from foliosift.operators import cascade, rules
 from foliosift.plans import check_sql as q
 from foliosift.plans.registry import query
-from foliosift.session import spread, table
+from foliosift.session import input_partitions, spread, table
 
 # Parameters for the driver's Latin-script tables (no Japanese text in them).
 PHRASES = ("Licensed under the", "Released under the MIT License.", "Apache License", "License")
@@ -17,11 +17,11 @@ LANGUAGES = ("en", "fr")
 
 
 def documents(spark, sf):
-    return spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id")
+    return spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id", input_partitions(spark))
 
 
 def pages(spark, sf):
-    return spread(table(spark, sf, "pages", "page_id", "html"), "page_id")
+    return spread(table(spark, sf, "pages", "page_id", "html"), "page_id", input_partitions(spark))
 
 
 def driver_rules():
@@ -44,7 +44,36 @@ def _(spark, sf):
     return pages(spark, sf).select("page_id", text.strip_html(F.col("html")).alias("text_clean"))
 
 
-@query("prj1_strip_html_parser")
+# Site furniture, prose with comparison signs, and references, put before every page.
+_HARD = (
+    "<header>Site</header><head><title>Name</title></head><article>if a < b and c > d hold</article>"
+    "<script>if (a<b) {}</script><STYLE type='x'>p{}</STYLE><!-- <p>note</p> -->"
+    "caf&eacute; &#8217;&#x27; &amp;lt; R&D &nosuch; 1 <3<p>"
+)
+_HARD_TEXT = "Site Name if a < b and c > d hold café ’' &lt; R&D &nosuch; 1 <3"
+
+
+@query("prj1_strip_html_hard", f"SELECT page_id, {q.quote(_HARD_TEXT)} AS start, {q.strip_html('html')} AS rest FROM pages")
+def _(spark, sf):
+    clean = text.strip_html(F.concat(F.lit(_HARD), "html"))
+    return pages(spark, sf).select(
+        "page_id", F.left(clean, F.lit(len(_HARD_TEXT))).alias("start"),
+        F.trim(F.substring(clean, len(_HARD_TEXT) + 1, 1 << 30)).alias("rest"),
+    )
+
+
+def _nodes_sql(t):
+    """Text between tags, each piece trimmed, joined by one space."""
+    for name in ("script", "style"):
+        t = rf"regexp_replace({t}, '(?is)<{name}\b[^<>]*>(?:.*?</{name}\s*>|.*)', chr(1), 'g')"
+    t = rf"regexp_replace({t}, '(?s)<!--.*?-->|<[/!?]?[A-Za-z][^<>]*>', chr(1), 'g')"
+    for entity, char in q.ENTITIES:
+        t = f"replace({t}, {q.quote(entity)}, {q.quote(char)})"
+    pieces = rf"list_transform(string_split({t}, chr(1)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g'))"
+    return f"array_to_string(list_filter({pieces}, lambda x: x <> ''), ' ')"
+
+
+@query("prj1_strip_html_parser", f"SELECT page_id, {_nodes_sql('html')} AS text_clean FROM pages")
 def _(spark, sf):
     return pages(spark, sf).select(
         "page_id", text.strip_html_parsed(F.col("html")).alias("text_clean")
@@ -66,8 +95,10 @@ def _(spark, sf):
 
 @query("prj3_strip_emojis", "SELECT doc_id, text AS text_clean FROM documents")
 def _(spark, sf):
-    # The tables hold no emoji: every sentence end gets some, and stripping restores the text.
-    with_emoji = F.replace(F.col("text"), F.lit("."), F.lit("😀.🎉✨️"))
+    # The tables hold no emoji: every sentence end gets some of each kind (joined, keycap, flag
+    # of tags, clock, star, arrow), and stripping restores the text.
+    some = "😀👨\u200d👩\u200d👧.🎉✨\ufe0f⭐⌚⏩▶\ufe0f⬛㊗\ufe0f🏴\U000e0067\U000e0062\U000e007f\ufe0f\u20e3"
+    with_emoji = F.replace(F.col("text"), F.lit("."), F.lit(some))
     return documents(spark, sf).select("doc_id", text.strip_emojis(with_emoji).alias("text_clean"))
 
 
@@ -217,14 +248,40 @@ _lexicon_query(10, "adult", (*values.LEXICONS["adult"], "pathetic", "disgusting"
 _lexicon_query(11, "violence", (*values.LEXICONS["violence"], "loser", "clown"), 2)
 
 
+# A lexicon as a table: every word pair of the first five words of a benchmark text.
+@query(
+    "flt9_lexicon_table",
+    r"""WITH head AS (SELECT [x FOR x IN regexp_extract_all(lower(text), '[\p{L}\p{N}]+')] AS w FROM benchmark),
+        terms AS (SELECT DISTINCT 'pair' AS category, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS term FROM head WHERE len(w) >= 3
+                  UNION SELECT DISTINCT 'word', w[1] FROM head WHERE len(w) >= 3),
+        words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+        grams AS (SELECT doc_id, unnest(w) AS term FROM words
+                  UNION ALL SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words)
+        SELECT doc_id, count(*) FILTER (category = 'pair')::BIGINT AS pairs, count(*) FILTER (category = 'word')::BIGINT AS words
+        FROM documents LEFT JOIN (grams JOIN terms USING (term)) USING (doc_id) GROUP BY doc_id""",
+)
+def _(spark, sf):
+    head = table(spark, sf, "benchmark", "text").select(measures.plain_words(F.col("text")).alias("w")).where("size(w) >= 3")
+    lexicon = head.select(F.inline(F.array(
+        F.struct(F.lit("word").alias("category"), F.col("w")[0].alias("term")),
+        F.struct(F.lit("pair").alias("category"), F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("term")),
+        F.struct(F.lit("pair").alias("category"), F.concat_ws(" ", F.col("w")[1], F.col("w")[2]).alias("term")),
+    )))
+    hits = F.col("lexicon_hits")
+    return rules.attach_lexicon_hits(documents(spark, sf), lexicon).select(
+        "doc_id", *[F.coalesce(hits[name], F.lit(0)).alias(f"{name}s") for name in ("pair", "word")]
+    )
+
+
 @query(
     "flt12_discrimination",
     f"""SELECT toxic, ({q.lexicon('text', values.LEXICONS['discrimination'])} >= 2)::INTEGER AS rejected,
                count(*)::BIGINT AS documents
-        FROM documents JOIN labels USING (doc_id) GROUP BY ALL""",
+        FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ALL""",
 )
 def _(spark, sf):
-    judged = documents(spark, sf).join(table(spark, sf, "labels", "doc_id", "toxic"), "doc_id").select(
+    # Every document is judged; toxic is null where there is no label.
+    judged = documents(spark, sf).join(table(spark, sf, "labels", "doc_id", "toxic"), "doc_id", "left").select(
         "toxic",
         (measures.lexicon_hits(F.col("text"), values.LEXICONS["discrimination"]) >= 2).cast("int").alias("rejected"),
     )
@@ -249,8 +306,7 @@ def cascade_ctes() -> str:
     raw AS (SELECT doc_id, text, coalesce({q.language('tk')} IN {q.in_list(LANGUAGES)}, FALSE) AS known
             FROM (SELECT doc_id, text, {q.letter_tokens('text')} AS tk FROM documents)),
     cleaned AS (SELECT doc_id, CASE WHEN known THEN
-                  regexp_replace({_phrases_sql(q.strip_html('text'))},
-                      '[\x{{1F000}}-\x{{1FAFF}}\x{{2600}}-\x{{27BF}}\x{{FE0F}}\x{{200D}}\x{{20E3}}]', '', 'g') END AS c
+                  regexp_replace({_phrases_sql(q.strip_html('text'))}, '{values.EMOJI}', '', 'g') END AS c
                 FROM raw),
     parts AS (SELECT *, {q.letter_tokens('c')} AS tk, {q.squeezed('c')} AS sq FROM cleaned),
     judged AS (SELECT doc_id, c AS text_clean, CASE

@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+# Paths written by ``materialise``, one list per open scope.
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app_name: str = "foliosift", **settings: str) -> SparkSession:
@@ -66,21 +70,38 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     same rows and reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, label)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small input over all cores before CPU-heavy row work.
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the stage tables written inside it. What is to last must be written elsewhere."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in _SCOPES.pop():
+            path = hadoop(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
-    Small means fewer scan splits than cores by the optimizer's size estimate; a large
-    input is passed through without a shuffle.
+
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``df`` hashed by ``key`` over ``partitions`` tasks; without a number it stays as it is.
+
+    For a small input that arrives in fewer pieces than there are cores and faces CPU-heavy
+    row work. It is the caller's choice and never depends on an estimate.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(str(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
-    return df if size >= split * cores else df.repartition(cores * 2, key)
+    return df if partitions is None else df.repartition(partitions, key)
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    """The session's own choice for :func:`spread`, ``spark.foliosift.inputPartitions``; unset: none."""
+    chosen = spark.conf.get("spark.foliosift.inputPartitions", None)
+    return int(chosen) if chosen else None
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

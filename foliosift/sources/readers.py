@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliosift.functions.json_values import parse_values
+from foliosift.functions.json_values import parse_arrays, parse_values
 
 
 def _texts(objects: DataFrame, id_field: str | None, id_type: str) -> DataFrame:
@@ -27,16 +27,15 @@ def read_json_corpus(
 ) -> DataFrame:
     """``doc_id, text`` from JSON array files, or from JSON lines with ``lines=True``.
 
-    An array file is read by one task, so a large corpus should come as JSON lines or as
-    many array files. Ids come from ``id_field`` (``id_type`` "string" for names such as
+    An array file is read by one task as one string (2 GB at most), so a large corpus should
+    come as JSON lines or as many array files. Ids come from ``id_field`` (``id_type`` "string" for names such as
     URNs; what does not fit the type is null, and duplicate removal refuses null ids) or are numbers that rise in file order;
     for one array file those are the list positions.
     """
     if lines:
         objects = parse_values(spark.read.text(path).where(F.trim("value") != ""), "value")
     else:
-        arrays = parse_values(spark.read.text(path, wholetext=True), "value")
-        objects = arrays.select(F.explode(F.col("v").cast("array<variant>")).alias("v"))
+        objects = parse_arrays(spark.read.text(path, wholetext=True), "value")
     return _texts(objects, id_field, id_type)
 
 

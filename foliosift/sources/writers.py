@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliosift.operators.items import validation_summary
+from foliosift.session import materialise
 
 _ESCAPED = {"writeNonAsciiCharacterAsCodePoint": "true"}
 
@@ -38,9 +41,15 @@ def write_chunks(df: DataFrame, path: str, chunk_col: str = "chunk") -> None:
     df.write.mode("overwrite").partitionBy(chunk_col).json(path)
 
 
-def write_recovery_report(validated: DataFrame, processed: DataFrame, path: str) -> None:
-    """``processed/``, ``failed/`` and ``summary/`` below ``path``."""
-    processed.write.mode("overwrite").json(f"{path}/processed")
-    failed = validated.where("NOT is_valid").drop("is_valid")
+def write_recovery_report(
+    validated: DataFrame, processor: Callable[[DataFrame], DataFrame], path: str
+) -> None:
+    """``processed/``, ``failed/`` and ``summary/`` below ``path``.
+
+    The validated rows are stored once; the three outputs read them.
+    """
+    stored = materialise(validated, "validated")
+    processor(stored.where("is_valid")).write.mode("overwrite").json(f"{path}/processed")
+    failed = stored.where("NOT is_valid").drop("is_valid")
     failed.write.mode("overwrite").json(f"{path}/failed")
-    validation_summary(validated).write.mode("overwrite").json(f"{path}/summary")
+    validation_summary(stored).write.mode("overwrite").json(f"{path}/summary")

@@ -75,21 +75,16 @@ LEXICONS = {
 }
 
 # --- Markup --------------------------------------------------------------------
-DROPPED_ELEMENTS = ("script", "style", "head")
-# Decoded in this order; the ampersand has to come last.
-HTML_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "\u00a9"),
-    ("&middot;", "\u00b7"),
-    ("&amp;", "&"),
-)
+DROPPED_ELEMENTS = ("script", "style")
 
-# --- Emoji code points -----------------------------------------------------------
-EMOJI_CLASS = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}\x{20E3}]"
+# --- Emoji: the characters, what may follow one, and a joiner next to one ---------------
+_EMOJI_CLASS = (
+    r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B05}-\x{2B1C}\x{2B50}\x{2B55}\x{231A}\x{231B}"
+    r"\x{23E9}-\x{23FA}\x{25B6}\x{25C0}\x{3030}\x{303D}\x{3297}\x{3299}]"
+)
+EMOJI = (
+    r"\x{200D}*" + _EMOJI_CLASS + r"[\x{FE0F}\x{20E3}\x{E0020}-\x{E007F}\x{200D}]*|[\x{FE0F}\x{20E3}]"
+)
 
 # --- MinHash: h(x) = (a * x + b) mod p, one pair per permutation -------------------
 MINHASH_PRIME = 2**31 - 1

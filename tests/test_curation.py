@@ -39,3 +39,19 @@ def test_run_needs_input_and_backends(texts, tmp_path):
         curate(texts([]), rules.default_rules(), scoring.LexicalScorer(), object(), str(tmp_path / "a"))
     with pytest.raises(ValueError, match="needs a scorer"):
         curate(texts(["a"]).where(F.lit(True)), [], None, object(), str(tmp_path / "b"))
+
+
+def test_nothing_survives(texts, tmp_path, monkeypatch):
+    import os
+
+    class Never:
+        def annotate(self, df, text_col="text"):
+            boom = F.udf(lambda _: 1 / 0)
+            records = [F.struct(F.lit("x").alias("error")).alias(n) for n in ("difficulty_rating", "quality_rating", "classification")]
+            return df.where(boom("text") != "").select("*", *records)
+
+    shared = os.path.join(str(tmp_path), "shared")
+    monkeypatch.setattr("foliosift.session.shared_dir", lambda _: shared)
+    result = curate(texts(["too short"]), rules.default_rules(), scoring.LexicalScorer(), Never(), str(tmp_path / "out"))
+    assert result.results.count() == 0 and result.outcomes.first().rejected == 1
+    assert [n for n in os.listdir(shared) if n.startswith("cleaned")] == []

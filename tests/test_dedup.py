@@ -78,3 +78,12 @@ def test_null_ids_are_refused(spark):
     for work in (dedup.drop_near_duplicates, dedup.drop_exact_duplicates):
         with pytest.raises(Exception, match="ids that are not null"):
             work(rows).collect()
+
+
+def test_two_texts_under_one_id_both_stay(spark):
+    rows = [(5, "one text of six plain words"), (5, "quite another text about other things"), (5, "one text of six plain words"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for work in (dedup.drop_near_duplicates, dedup.drop_exact_duplicates):
+        assert sorted((r.doc_id, r.text or "") for r in work(df).collect()) == sorted({(i, t or "") for i, t in rows})
+    marked = dedup.mark_duplicates(df.withColumn("reject_reason", F.lit(None).cast("string")))
+    assert marked.count() == 4 and marked.where("reject_reason IS NULL").count() == 4

@@ -28,8 +28,7 @@ def test_validation_variants(three, spark):
 
 def test_recovery_report(three, spark, tmp_path):
     validated = items.validate_items(three)
-    valid, failed = items.split_valid(validated)
-    writers.write_recovery_report(validated, items.process(valid, items.double_value), str(tmp_path))
+    writers.write_recovery_report(validated, items.double_value, str(tmp_path))
     assert spark.read.json(f"{tmp_path}/summary").first().asDict() == {"total_input": 3, "successful": 2, "failed": 1}
     assert {r.value for r in spark.read.json(f"{tmp_path}/processed").collect()} == {200, 0}
     assert spark.read.json(f"{tmp_path}/failed").first().errors == ["name is empty"]
@@ -218,3 +217,29 @@ def test_read_many_and_formats(spark, tmp_path):
     assert readers.read_table_file(spark, str(tmp_path / "t.csv"), "txt").count() == 2
     with pytest.raises(ValueError):
         readers.read_table_file(spark, "x", "yaml")
+
+
+@pytest.mark.parametrize("top_k", [0, 10_000])
+def test_pages_over_ties_hold_every_row_once(spark, monkeypatch, top_k):
+    monkeypatch.setattr(items, "TOP_K_ROWS", top_k)
+    df = spark.range(95).select("id", F.lit(1).alias("tie"))
+    pages = [[r.id for r in items.page(df, number, 20, [("tie", "asc")]).collect()] for number in range(1, 6)]
+    assert sorted(x for p in pages for x in p) == list(range(95))
+    test_pages_over_ties_hold_every_row_once.seen = getattr(test_pages_over_ties_hold_every_row_once, "seen", pages)
+    assert pages == test_pages_over_ties_hold_every_row_once.seen
+
+
+def test_flatten_json_finds_its_own_depth(spark):
+    text = '{"a":null,"b":"null","c":{"d":{"e":{"f":{"g":{"h":{"i":{"j":{"k":1}}}}}}}},"x{":"}\\\\\\"{"}'
+    got = records.flatten_json(spark.createDataFrame([(1, text)], "id int, j string"), "j", "id").collect()
+    assert {(r.path, r.value) for r in got} == {("a", None), ("b", "null"), ("c.d.e.f.g.h.i.j.k", "1"), ("x{", '}\\"{')}
+
+
+def test_array_files_skip_what_is_no_text_and_refuse_what_is_no_array(spark, tmp_path):
+    (tmp_path / "a.json").write_text('["x", 1, null, {"text": "t", "id": "urn:1"}, {"note": 1}, [2]]')
+    got = readers.read_json_corpus(spark, str(tmp_path / "a.json"), id_field="id", id_type="string").collect()
+    assert [tuple(r) for r in got] == [("urn:1", "t")]
+    for name, text in (("b.json", '{"text": "t"}'), ("c.json", "[1] [2]"), ("d.json", '[{"te')):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception):
+            readers.read_json_corpus(spark, str(tmp_path / name)).collect()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliosift.functions import annotations as A
+from foliosift.functions import scores
 from foliosift.operators import annotate, evaluate, joins, scoring
 from foliosift.values import SCORE_CLASSES
 
@@ -160,3 +161,31 @@ def test_lookup_with_a_hot_key(spark):
     assert got.count() == 300
     assert got.where("id = 1").agg(F.min("original_value"), F.max("original_value"), F.count("*")).first()[:] == (10, 10, 101)
     assert got.where("id = 2").first().original_value == 20
+
+
+def test_lookup_spreads_null_keys_and_copes_with_no_rows(spark):
+    source = spark.createDataFrame([(1, 10)], "id bigint, value int")
+    rows = spark.range(200).select(F.when(F.col("id") == 0, 1).cast("bigint").alias("id"), F.col("id").alias("n"))
+    got = joins.original_values(rows, source)
+    assert got.count() == 200 and got.where("original_value = 10").count() == 1
+    assert joins.original_values(rows.where("n < 0"), source).count() == 0
+
+
+def test_best_of_several_answers(spark):
+    good, wrong = '{"explanation": "a", "quality": "good"}', '{"explanation": "z", "quality": "none"}'
+    rows = [(1, "quality", good, 1), (1, "quality", wrong, 2), (1, "quality", "~", 3), (2, "quality", good, 1), (2, "quality", good.replace('"a"', '"b"'), 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, task string, response string, at int")
+    got = {r.doc_id: r.quality for r in joins.pivot_responses(df, ["doc_id"], order="at").collect()}
+    assert got[1] == good and got[2] == rows[4][2]
+
+
+def test_rows_without_score_or_truth_are_counted(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (1.0, None), (float("nan"), 1.0)], "score double, truth double")
+    assert tuple(evaluate.count_unscored(df).first()) == (4, 3)
+
+
+def test_no_score_is_in_no_class_and_no_bin(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (9.0,), (-1.0,)], "score double")
+    graded = [tuple(r) for r in df.select(scores.clip_score(F.col("score")), scores.score_class(F.col("score"))).collect()]
+    assert graded == [(None, None), (None, None), (4.0, 4), (0.0, 0)]
+    assert evaluate.score_histogram(df).agg(F.sum("documents")).first()[0] == 2

@@ -142,7 +142,7 @@ def test_markup_keeps_bodies_and_prose(spark):
     rows = [
         ("<header>Site</header><article>The body.</article><script>x</script><p>end</p>", "Site The body. end"),
         ("<p>if a < b and then c > d holds</p>", "if a < b and then c > d holds"),
-        ("<style>a{}</style >one<head><title>t</title></head>two", "one two"),
+        ("<style>a{}</style >one<head><title>t</title></head>two", "one t two"),
     ]
     df = spark.createDataFrame(rows, "html string, expected string")
     for r in df.select(text.strip_html(F.col("html")).alias("got"), "expected").collect():
@@ -152,3 +152,25 @@ def test_markup_keeps_bodies_and_prose(spark):
 def test_no_function_word_is_no_language(spark):
     df = spark.createDataFrame([("日本",), ("qqq zzz",)], "text string")
     assert {r[0] for r in df.select(M.detect_language(F.col("text"))).collect()} == {None}
+
+
+def test_markup_scan_is_linear(spark):
+    import time
+
+    rows = [("a <3 " * 80_000,), ("<!-- " * 80_000,), ("<script> " * 45_000,), ("&a " * 130_000,)]
+    df = spark.createDataFrame(rows, "html string").repartition(4)
+    lengths = F.sum(F.length(text.strip_html(F.col("html"))))
+    df.limit(0).select(lengths).collect()
+    start = time.perf_counter()
+    df.select(lengths).collect()
+    assert time.perf_counter() - start < 8  # four texts of 400,000 characters, planning included
+
+
+def test_character_references(texts):
+    rows = ["caf&eacute; &#8217;&#x27; &amp;lt; R&D &nosuch; a&nbsp;b &#0; &#xD800; &hearts;"]
+    assert column(texts(rows), text.strip_html(F.col("text"))) == ["café ’' &lt; R&D &nosuch; a b &#0; &#xD800; ♥"]
+
+
+def test_emoji_of_all_kinds_go_and_indic_joiners_stay(texts):
+    rows = ["क्‍ष|👨‍👩‍👧|⭐|1️⃣|⌚|▶️|🏴\U000e0067\U000e007f|㊗️|⬛"]
+    assert column(texts(rows), text.strip_emojis(F.col("text"))) == ["क्‍ष|||1|||||"]
