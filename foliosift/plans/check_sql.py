@@ -101,7 +101,7 @@ def special(t: str) -> str:
 
 
 # Those of the test tables; the ampersand comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
 def strip_html(t: str) -> str:
