@@ -36,8 +36,9 @@ from foliosift.llm.common import fresh_name, require_columns
 SPACE = "▁"
 #: Where the public vocabulary lies; a parameter of every call.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-#: Distinct chunks that a task remembers before it starts afresh.
+#: Distinct chunks, and ids of theirs, that a task remembers before it starts afresh.
 _CACHED = 400_000
+_CACHED_IDS = 1 << 24
 #: Rows worked on at once, and the length up to which chunks are searched side by side.
 _SLICE = 512
 _SIDE_BY_SIDE = 48
@@ -135,24 +136,35 @@ class Vocabulary:
         return tuple(chain.from_iterable(a[3] for a in reversed(on_path))), forward[n], forward[n] - second
 
     def n_best(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """(score, ids) of the n best segmentations: A* backward, forward scores as heuristic."""
+        """(score, ids) of the n best segmentations: A* backward, forward scores as heuristic.
+
+        The heuristic is exact, so the hypotheses of one position come in the order of their
+        own scores, and only the first n of them can be part of an answer: the rest are left,
+        which bounds the agenda where very many segmentations tie. Hypotheses share tails."""
         chunk = chunk.replace(" ", SPACE)
         end, into = len(chunk), [[] for _ in range(len(chunk) + 1)]
         forward: list[float] = [0.0] + [-inf] * end
         for arc in self.lattice(chunk):
             forward[arc[1]] = max(forward[arc[1]], forward[arc[0]] + arc[2])
             into[arc[1]].append(arc)
-        agenda = [(-forward[end], 0, end, 0.0, ())]
-        made, found = 0, []
+        agenda: list[tuple] = [(-forward[end], 0, end, 0.0, None)]
+        made, found, left = 0, [], [n] * (end + 1)
         while agenda and len(found) < n:
-            value, _, at, tail, ids = heapq.heappop(agenda)
+            value, _, at, tail, steps = heapq.heappop(agenda)
             if at == 0:
-                found.append((-value, ids))
+                ids: list[int] = []
+                while steps:
+                    ids += steps[0]
+                    steps = steps[1]
+                found.append((-value, tuple(ids)))
+                continue
+            if not left[at]:
                 continue
+            left[at] -= 1
             for arc in into[at]:
                 made += 1
                 score = tail + arc[2]
-                heapq.heappush(agenda, (-(forward[arc[0]] + score), made, arc[0], score, arc[3] + ids))
+                heapq.heappush(agenda, (-(forward[arc[0]] + score), made, arc[0], score, (arc[3], steps)))
         return found
 
     def text(self, ids) -> str:
@@ -296,6 +308,7 @@ class Encoder:
         self._restart()
 
     def _restart(self) -> None:
+        self.many.clear()
         self.number: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
@@ -328,7 +341,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]):
         """All ids, how many belong to each text, scores and alternatives of each text."""
-        if len(self.number) > _CACHED:
+        if len(self.number) > _CACHED or self.used > _CACHED_IDS:
             self._restart()
         cut = [self.cut(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         self._learn(sorted(set(chain.from_iterable(cut)).difference(self.number)))
@@ -355,7 +368,12 @@ class Encoder:
             if chunks[p] not in self.many:
                 if len(self.many) > _CACHED // 8:
                     self.many.clear()
-                self.many[chunks[p]] = self.vocabulary.n_best(chunks[p], self.n)
+                found = self.vocabulary.n_best(chunks[p], self.n)
+                # Of segmentations that tie, the one already chosen is the first.
+                at = self.starts[own[p]]
+                first = tuple(self.ids[at : at + self.lengths[own[p]]].tolist())
+                others = [x for x in found if x[1] != first][: self.n - 1]
+                self.many[chunks[p]] = [(found[0][0], first), *others]
             choices.append(self.many[chunks[p]])
         # Best first over the choices: every state has one predecessor, the one in which its
         # first changed chunk is a step nearer to the best.

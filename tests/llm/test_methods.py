@@ -47,6 +47,25 @@ def test_n_best_is_exact(text):
     assert {vocabulary.text(i) for _, i in got} == {text}
 
 
+def test_n_best_of_ties():
+    pieces = ["<unk>", "<s>", "</s>", *[f"<0x{b:02X}>" for b in range(256)], "▁", "a", "aa", "aaa"]
+    vocabulary = sentencepiece_nbest.Vocabulary(pieces, [0.0] * 259 + [-1.0, -1.0, -2.0, -3.0], list(range(3, 259)))
+    for length in (3, 6, 3000):  # every segmentation has the same score
+        ids, _, scores, more = sentencepiece_nbest.Encoder(vocabulary, 4).encode(["a" * length])
+        got = [tuple(ids.tolist())] + [tuple(sentencepiece_nbest.apply_edits(ids.tolist(), a["edits"])) for a in more[0]]
+        assert len(set(got)) == 4 and {vocabulary.text(i) for i in got} == {"a" * length}
+        assert np.allclose([scores[0], *[a["score"] for a in more[0]]], -1.0 - length)
+
+
+def test_n_best_of_a_very_long_chunk():
+    vocabulary = sentencepiece_nbest.Vocabulary.load()
+    text = "".join(map(chr, np.random.default_rng(6).integers(97, 123, 60_000)))
+    ids, _, _, more = sentencepiece_nbest.Encoder(vocabulary, 4).encode([text])
+    got = [ids.tolist()] + [sentencepiece_nbest.apply_edits(ids.tolist(), a["edits"]) for a in more[0]]
+    assert len(set(map(tuple, got))) == 4 and {vocabulary.text(i) for i in got} == {text}
+    assert [a["score"] for a in more[0]] == sorted((a["score"] for a in more[0]), reverse=True)
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(f"{a:03}".encode(), f"{b:03}".encode()) for a, b in rng.integers(0, 300, size=(220, 2))] + [(b"998", b"999")]
