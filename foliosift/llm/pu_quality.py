@@ -14,7 +14,7 @@ Features describe the shape of a whole text: frequencies of pairs of character c
 length, word lengths, shares of distinct words and lines and of repeated words in a row. Null and empty texts have zero
 frequencies and lengths and get that point's score. At most ``fit_rows`` positives and as
 many unlabelled rows, those with the smallest hash of (id, text), are fitted, a few numbers
-a row; every row is scored. With no positives or no unlabelled rows all scores are 0.5.
+a row (rows that repeat an id and text count once); every row is scored. With no positives or no unlabelled rows all scores are 0.5.
 """
 
 from __future__ import annotations
@@ -166,12 +166,14 @@ def fit(
 
     def sample(ids: DataFrame, trusted: bool) -> DataFrame:
         wanted = ids.select(quoted(id_col).alias("id")).dropna().distinct()
-        chosen = narrow.join(wanted, "id", "left_semi").orderBy("mark", "id").limit(fit_rows)
-        return chosen.distinct().withColumn("trusted", F.lit(trusted))
+        chosen = narrow.join(wanted, "id", "left_semi").distinct().orderBy("mark", "id").limit(fit_rows)
+        return chosen.withColumn("trusted", F.lit(trusted))
 
     chosen = sample(positives, True).unionByName(sample(unlabelled, False))
     rows = docs.select(quoted(id_col).alias("id"), mark, quoted(text_col).alias("text")).join(F.broadcast(chosen), ["id", "mark"])
-    found = rows.select("trusted", "mark", "id", describe("text").alias("f")).orderBy("trusted", "mark", "id").toPandas()
+    # Rows that repeat an id and text count once, so that no more rows come back than were chosen.
+    described = rows.select("trusted", "mark", "id", describe("text").alias("f")).groupBy("trusted", "mark", "id").agg(F.first("f").alias("f"))
+    found = described.orderBy("trusted", "mark", "id").toPandas()
     part = lambda kind: found["f"][found["trusted"] == kind].to_list()
     stack = lambda some: np.stack(some) if some else np.zeros((0, WIDTH))
     return learn(stack(part(True)), stack(part(False)), **options)
