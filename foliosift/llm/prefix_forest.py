@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import quoted, require_columns
+from foliosift.session import materialise
 
 #: Bits of a hash string.
 BITS = 24
@@ -112,6 +113,11 @@ def nearest(
         .where(F.col("id").isNotNull() & usable(F.col("v")))
         .withColumn("dim", F.size("v"))
     )
+    # More than k rows with one id and vector cannot be told from k: groups of such copies are
+    # combined before the shuffle and cannot fill a block.
+    once = rows.groupBy("id", "v", "dim").agg(F.max("asks").alias("asks"), F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies"))
+    once = materialise(once, "forest-rows")
+    rows = once.select("id", "v", "dim", "asks", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
     sizes = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}  # one row per length
     answer = "query_id bigint, vec_id bigint, square double, dim int"
     if not sizes:
@@ -126,7 +132,7 @@ def nearest(
     blocks = F.element_at(counts, F.col("dim"))
     index = rows.select("dim", F.pmod(F.xxhash64("id", "v"), blocks).cast("int").alias("block"), F.lit(0).alias("part"), "id", "v")
     # One search for a repeated id; the map side keeps one vector of each.
-    asking = rows.where("asks").groupBy("id", "dim").agg(F.min("v").alias("v"))
+    asking = once.where("asks").groupBy("id", "dim").agg(F.min("v").alias("v"))
     queries = asking.select(
         "dim", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("part"), "id", "v"
     )
