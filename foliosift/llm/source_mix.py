@@ -164,7 +164,7 @@ def place_words(
     quotas = materialise(quotas, "mix-quotas")
 
     stream = Window.partitionBy("place", "shard").orderBy("seed_key").rowsBetween(Window.unboundedPreceding, 0)
-    rows = placed.withColumn("end", F.sum("size").over(stream)).join(quotas, ["place", "shard"], "left")
+    words = placed.where("size > 0").withColumn("end", F.sum("size").over(stream)).join(quotas, ["place", "shard"], "left")
     rest = F.col("quota") % F.col("blocks")
     last = F.col("start") + rest
     cut = lambda a, b: F.struct(
@@ -173,12 +173,16 @@ def place_words(
     )
     around = cut(F.lit(0), F.greatest(last - F.col("blocks"), F.lit(0)))
     parts = F.array(around, cut(F.col("start"), F.least(last, F.col("blocks"))))
-    return rows.select(
-        "doc_id", "seed_key", "size", "source_size", "target",
+    nothing = F.expr("cast(array() as array<struct<from:bigint,to:bigint>>)")
+    facts = ("doc_id", "seed_key", "size", "source_size", "target")
+    used = words.select(
+        *facts,
         F.coalesce(F.floor(F.col("quota") / F.col("blocks")), F.lit(0)).alias("whole"),
-        F.when(F.col("quota").isNull(), F.expr("cast(array() as array<struct<from:bigint,to:bigint>>)"))
-        .otherwise(F.filter(parts, lambda p: p["to"] > p["from"])).alias("parts"),
-    )
+        F.when(F.col("quota").isNull(), nothing).otherwise(F.filter(parts, lambda p: p["to"] > p["from"])).alias("parts"),
+    )
+    # A source may consist of texts without words; those have no place in a stream.
+    empty = placed.where("size = 0").select(*facts, F.lit(0).cast("bigint").alias("whole"), nothing.alias("parts"))
+    return used.unionByName(empty)
 
 
 def seed_key(doc_id: Column, text: Column, seed: int) -> Column:
@@ -210,7 +214,7 @@ def take(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
     taken = nth(places.where("size > 0 AND (whole > 0 OR size(parts) > 0)"), "seed_key").select(
         F.col("seed_key").alias(key), "nth", pieces.alias(part)
     )
-    joined = nth(packed, key).join(taken, [key, "nth"]).select(row, F.explode(part).alias(part))
+    joined = nth(packed.where(F.col(row)[text_col].rlike(WORD)), key).join(taken, [key, "nth"]).select(row, F.explode(part).alias(part))
     text = F.col(row)[text_col]
     ranged = F.regexp_extract_all(text, F.lit(rf"({WORD}[\x20\x09-\x0D]*)"), 1)
     cut = F.array_join(F.slice(ranged, F.col(part)["from"].cast("int") + 1, (F.col(part)["to"] - F.col(part)["from"]).cast("int")), "")

@@ -150,6 +150,9 @@ def test_quality(odd, none):
     found = pu_quality.score(odd, model)
     assert found.columns == [*odd.columns, "_score"]
     assert all(0 <= r._score <= 1 for r in found.collect()) and found.count() == len(ROWS)
+    copies = odd.crossJoin(odd.sparkSession.range(50)).drop("id")
+    again = pu_quality.fit(copies, ids, odd.select("doc_id"))  # copies of a row count once
+    assert (again.weights == model.weights).all()
     blank = pu_quality.fit(none, none.select("doc_id"), none.select("doc_id"))
     assert {r._score for r in pu_quality.score(odd, blank).collect()} == {0.5}
     assert pu_quality.score(none, blank).count() == 0
@@ -184,4 +187,7 @@ def test_forest(spark):
     rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").withColumn("v", F.lit(1)).withColumn("dim", F.lit(1))
     found = prefix_forest.nearest(rows, F.col("vec_id") % 100 == 0, k=2)
     assert [(r.query_id, r.rank, r.vec_id) for r in found.collect()] == [(0, 1, 1), (0, 2, 2)]
+    many = rows.where("vec_id = 1").crossJoin(spark.range(40)).select("vec_id", "embedding").unionByName(rows.select("vec_id", "embedding"))
+    found = prefix_forest.nearest(many, F.col("vec_id") % 100 == 0, k=3).collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in found] == [(0, 1, 1), (0, 2, 1), (0, 3, 1)]
     assert prefix_forest.nearest(rows.limit(0), F.lit(True)).count() == 0
