@@ -172,6 +172,31 @@ SELECT doc_id, CASE WHEN form <> ' ' THEN sha256(form) END AS canonical_sha256,
 FROM forms LEFT JOIN digests ON form <> ' ' AND digest = sha256(form)"""
 
 
+@_query
+def op6_license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    """Known licenses and notices that stand as whole lines inside the documents."""
+    known = spark.createDataFrame(LICENSES, "name string, text string")
+    return license_digest.notices(table(spark, folder, "documents", "doc_id", "text"), known)
+
+
+CHECKS["op6_license_notices"] = f"""
+WITH known(name, text) AS (VALUES {_LICENSE_ROWS}),
+wanted AS (SELECT trim({_canonical_sql("text")}) || ' ' AS w, min(name) AS license FROM known GROUP BY 1),
+doc AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+line AS (SELECT r, unnest(l) AS text, unnest(range(1, len(l) + 1)) AS i FROM doc),
+form AS (SELECT r, i, ltrim({_canonical_sql("text")}) AS f FROM line),
+part AS (SELECT * FROM form WHERE f <> ''),
+rest AS (
+  SELECT r, string_agg(f, '' ORDER BY i) OVER later AS f, len(string_agg(f, '' ORDER BY i) OVER later) AS n
+  FROM part WINDOW later AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ends AS (SELECT r, n FROM rest UNION SELECT r, 0 FROM rest),
+met AS (
+  SELECT DISTINCT rest.r, license FROM rest JOIN wanted ON starts_with(f, w)
+  JOIN ends ON ends.r = rest.r AND ends.n = rest.n - len(w)),
+all_of AS (SELECT r, list_sort(list(license)) AS licenses FROM met GROUP BY r)
+SELECT doc_id, coalesce(licenses, []) AS licenses FROM doc LEFT JOIN all_of USING (r)"""
+
+
 @_query
 def op7_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Positives are labels of the rows not held out; unlabelled are the rows without any

@@ -2,6 +2,7 @@
 extra columns whose names clash with its own."""
 
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +145,42 @@ def test_license(spark, odd, none):
     assert same.select(license_digest.canonical(F.col("text"))).distinct().count() == 1
 
 
+def test_license_notices(spark, odd, none):
+    known = spark.createDataFrame(
+        [("A", "One two THREE four, five six; seven eight nine!"), ("B", "seven eight"), ("C", "of ten percent is due"), (None, None)],
+        "name string, text string",
+    )
+    found = license_digest.notices(odd, known).collect()
+    assert len(found) == len(ROWS)
+    assert sorted((r.doc_id, *r.licenses) for r in found if r.licenses) == [(3, "A", "B"), (3, "A", "B"), (5, "A", "B")]
+    assert license_digest.notices(none, known).count() == 0
+    texts = spark.createDataFrame(
+        [
+            (1, "Some code\n\n# One two\n#\n# Copyright (c) 2001 me\n# three, four five\n# six seven eight nine\nrest"),
+            (2, "not one two three four five six seven eight nine"),
+            (3, "of ten per\n * cent is due"),
+            (4, "Seven,\r\nEIGHT\r\nof ten\nper cent\nis due"),
+        ],
+        "doc_id bigint, text string",
+    )
+    assert {r.doc_id: r.licenses for r in license_digest.notices(texts, known).collect()} == {1: ["A"], 2: [], 3: ["C"], 4: ["B", "C"]}
+
+
+def test_license_notices_of_the_tables(spark):
+    """Of the 262 documents that hold a notice as a line of a longer text, each is found."""
+    from foliosift.llm.known_licenses import LICENSES
+
+    path = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("test tables not present")
+    docs = spark.read.parquet(path).select("doc_id", "text")
+    lines = {text: name for name, text in LICENSES if name.endswith("notice")}
+    wanted = {r.doc_id: sorted({lines[x] for x in r.text.split("\n") if x in lines}) for r in docs.where("text IS NOT NULL").collect()}
+    known = spark.createDataFrame(LICENSES, "name string, text string")
+    found = {r.doc_id: r.licenses for r in license_digest.notices(docs, known).collect()}
+    assert found == wanted and sum(map(bool, wanted.values())) == 262
+
+
 def test_quality(odd, none):
     ids = odd.select("doc_id").where("doc_id > 2")
     model = pu_quality.fit(odd, ids, odd.select("doc_id"))
