@@ -72,12 +72,25 @@ SPELLINGS = (
 #: A line that begins with the word copyright, its sign or "all rights reserved".
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+#: Lines of a license's body that wrapping lets begin like a copyright line.
+BODY_LINE = (
+    r"(?m)^([ \t#*/;-]*)(?=copyright(?:ed|s)?[ \t]+(?:holders?|owners?|notices?|licen[cs]es?|laws?|interests?|permission|conditions|statements?"
+    r"|disclaimers?|and|or|on the|by the free software foundation, write)\b|copyright, (?:patent|trademark)|\(c\)[ \t]+(?:you must|under)\b)"
+)
+#: Words that a license begins with when it goes on in the line of the copyright statement.
+OPENINGS = (
+    "permission is hereby granted|permission to use|redistribution and use|this software is|this is free|this program is|this library is|this work is"
+    "|everyone is permitted|licensed under|released under|distributed under|the software is provided|this source code form"
+)
+STATEMENT = rf"(?m)^([ \t#*/;-]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*?)\b(?={OPENINGS})"
 #: So many first words of a run are compared before it is digested.
 HEAD = 8
 
 
 def _without_copyright(text: Column) -> Column:
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    """Lower case; a copyright line ends where a license begins in it, and body lines stay."""
+    lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BODY_LINE, "$1|")
+    return F.regexp_replace(F.regexp_replace(lines, STATEMENT, "$1\n"), COPYRIGHT_LINE, "")
 
 
 def canonical(text: Column) -> Column:

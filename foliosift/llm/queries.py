@@ -21,6 +21,7 @@ from foliosift.llm import (
 )
 from foliosift.llm.common import crc_bucket
 from foliosift.llm.known_licenses import LICENSES
+from foliosift.llm.known_licenses import known as known_licenses
 from foliosift.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,7 +152,7 @@ FROM class LEFT JOIN counts ON x = doc_id"""
 
 @_query
 def op6_license_digest(spark: SparkSession, folder: str) -> DataFrame:
-    known = spark.createDataFrame(LICENSES, "name string, text string")
+    known = spark.createDataFrame(known_licenses(), "name string, text string")
     return license_digest.scan(table(spark, folder, "documents", "doc_id", "text"), known)
 
 
@@ -175,7 +176,7 @@ FROM forms LEFT JOIN digests ON form <> ' ' AND digest = sha256(form)"""
 @_query
 def op6_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     """Known licenses and notices that stand as whole lines inside the documents."""
-    known = spark.createDataFrame(LICENSES, "name string, text string")
+    known = spark.createDataFrame(known_licenses(), "name string, text string")
     return license_digest.notices(table(spark, folder, "documents", "doc_id", "text"), known)
 
 

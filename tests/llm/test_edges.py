@@ -3,6 +3,7 @@ extra columns whose names clash with its own."""
 
 import hashlib
 import os
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,28 @@ def test_license(spark, odd, none):
     assert same.select(license_digest.canonical(F.col("text"))).distinct().count() == 1
 
 
+def test_license_files(spark):
+    """Files as they come: title, copyright line, other widths, all on one line."""
+    from foliosift.llm.known_licenses import TITLES, known
+
+    bodies = {}
+    for name, text in known():
+        bodies.setdefault(name, text)
+    line = "Copyright (c) 2020-2024, Jane Doe <jane@example.org>. All rights reserved."
+    files = [(name, f"{title}\n\n{line}\n\n{bodies[name]}") for name, titles in TITLES.items() for title in titles if title not in ("BSD License",)]
+    for name in (*TITLES, "Apache-2.0", "MPL-2.0"):
+        files += [(name, f"{line}\n" + textwrap.fill(" ".join(bodies[name].split()), width)) for width in (45, 60, 72, 79, 100)] if name in TITLES else [(name, bodies[name])]
+    apache = bodies["Apache-2.0"].split("APPENDIX:")[0]
+    files += [("Apache-2.0", textwrap.fill(" ".join(apache.split()), width)) for width in (60, 72, 100)]
+    files += [(name, f"{line} " + " ".join(bodies[name].split())) for name in TITLES]
+    files += [(name, bodies[name]) for name in ("GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "CC0-1.0")]
+    files += [("GPL-3", bodies["GPL-3"].replace("https://", "http://")), (None, line), (None, "MIT License")]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(files)], "doc_id bigint, text string")
+    table = spark.createDataFrame(known(), "name string, text string")
+    found = {r.doc_id: r.license for r in license_digest.scan(docs, table).collect()}
+    assert [(files[i], found[i]) for i in found if found[i] != files[i][0]] == []
+
+
 def test_license_notices(spark, odd, none):
     known = spark.createDataFrame(
         [("A", "One two THREE four, five six; seven eight nine!"), ("B", "seven eight"), ("C", "of ten percent is due"), (None, None)],
