@@ -17,6 +17,7 @@ from foliosift.llm import (
     pu_quality,
     sentencepiece_nbest,
     source_mix,
+    spelling_variants,
     url_filter,
 )
 from foliosift.llm.common import crc_bucket
@@ -291,6 +292,61 @@ SELECT doc_id, size, source_size, target,
 FROM stream LEFT JOIN started USING (place, shard)"""
 
 
+#: Fixed values of the query: letters, least length and count, one run in so many loses a letter.
+RUN_LETTERS = "[A-Za-zÀ-ÿ]"
+RUN_LENGTH, RUN_COUNT, RUN_NOISE = 7, 2, 31
+
+
+def spelled_words(docs: DataFrame) -> DataFrame:
+    """(word, n): the runs, of which those whose checksum (with the id; a null id reads as
+    nothing) ``RUN_NOISE`` divides lack a letter."""
+    runs = spelling_variants.runs(docs, RUN_LETTERS, RUN_LENGTH)
+    checksum = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    short = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    word = F.when(F.col("h") % RUN_NOISE == 0, short).otherwise(F.col("run"))
+    words = runs.select("run", checksum.alias("h")).select(word.alias("word")).where(F.length("word") >= RUN_LENGTH)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RUN_COUNT)
+
+
+@_query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.group(spelled_words(table(spark, folder, "documents", "doc_id", "text")))
+
+
+# Independent of the engine's way: near words are found by the words left after deleting each letter.
+CHECKS["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(list_prepend(c, range(8)),
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) AS t),
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+run AS (SELECT run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM found WHERE length(run) >= 7),
+hashed AS (
+  SELECT run, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+    lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1]))) AS h FROM run, crc),
+spelled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+word AS (SELECT word, count(*) AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+gone AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM word)),
+pair AS (
+  SELECT a.word AS word, b.word AS near FROM gone a JOIN gone b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT gone.word, word.word FROM gone JOIN word ON rest = word.word
+  UNION SELECT word.word, gone.word FROM gone JOIN word ON rest = word.word),
+best AS (
+  SELECT pair.word, count(*) AS n_near, arg_min(near, (-word.n, near)) AS near, max(word.n) AS near_n
+  FROM pair JOIN word ON word.word = near GROUP BY pair.word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM word LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS steps FROM judged
+  UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN judged ON here = judged.word WHERE form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(here, steps) FROM walk WHERE walk.word = judged.word) AS root, n, n_near, form_n FROM judged"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
