@@ -18,6 +18,7 @@ from foliosift.llm import (
     sentencepiece_nbest,
     source_mix,
     spelling_variants,
+    token_alignment,
     url_filter,
 )
 from foliosift.llm.common import crc_bucket
@@ -292,6 +293,11 @@ SELECT doc_id, size, source_size, target,
 FROM stream LEFT JOIN started USING (place, shard)"""
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.link_counts(table(spark, folder, "documents", "doc_id", "text"))
+
+
 #: Fixed values of the query: letters, least length and count, one run in so many loses a letter.
 RUN_LETTERS = "[A-Za-zÀ-ÿ]"
 RUN_LENGTH, RUN_COUNT, RUN_NOISE = 7, 2, 31
