@@ -19,12 +19,13 @@ from foliosift.llm import (
     source_mix,
     spelling_variants,
     token_alignment,
+    token_files,
     url_filter,
 )
 from foliosift.llm.common import crc_bucket
 from foliosift.llm.known_licenses import LICENSES
 from foliosift.llm.known_licenses import known as known_licenses
-from foliosift.session import table
+from foliosift.session import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -353,6 +354,13 @@ walk AS (
 SELECT word, form, (SELECT arg_max(here, steps) FROM walk WHERE walk.word = judged.word) AS root, n, n_near, form_n FROM judged"""
 
 
+@_query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents", "doc_id", "text"), path)
+    return token_files.read(spark, path, with_ids=False)
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

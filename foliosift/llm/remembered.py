@@ -13,6 +13,20 @@ import pyarrow.compute as pc
 WHITE = " \t\n\r\x0b\x0c\x85\xa0  -     　"
 
 
+def byte_signs() -> dict[int, str]:
+    """The character that stands for each byte in the vocabularies of byte-level BPEs: printable
+    ones for themselves, the others by those from U+0100 on. Held against the library."""
+    from tokenizers import pre_tokenizers
+
+    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [x for x in range(256) if x not in printable]
+    signs = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    text = "".join(map(chr, [*range(0x80), *range(0x80, 0x800, 63), 0x7FF, *range(0x800, 0xD800, 997), *range(0x10000, 0x110000, 65521)]))
+    if pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(text)[0][0] != text.encode().decode("latin-1").translate(signs):
+        raise ValueError("the installed library shows bytes differently")
+    return signs
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions of consecutive runs."""
     ends = np.cumsum(lengths)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import quoted, require_columns
-from foliosift.llm.remembered import Remembered, ragged, slices, spaced_chunks
+from foliosift.llm.remembered import Remembered, byte_signs, ragged, slices, spaced_chunks
 from foliosift.session import materialise
 
 #: Where the public vocabularies lie; parameters of every call.
@@ -51,7 +51,6 @@ _WIDE = 1 << 16
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"(?: |\n(?![ \n]))(?:[!-~{_LATIN}]|\n(?![ \n]|\\Z))*").fullmatch
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^ \n0-9{_LATIN}]+| (?!\\S)|\n").findall
-_SHOWN = "".join(map(chr, [*range(0x80), *range(0x80, 0x800, 63), 0x7FF, *range(0x800, 0xD800, 997), 0xFFFD, *range(0x10000, 0x110000, 65521)]))
 #: An id pair as one number: A above, B in the lower bits.
 _B_BITS = 24
 
@@ -61,17 +60,11 @@ class Pair:
 
     def __init__(self, byte_bpe: str = BYTE_BPE, pieces: str = PIECES):
         import sentencepiece
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         a = Tokenizer.from_file(byte_bpe)
-        # A character for every byte, in the byte's order among those of all characters.
-        printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-        others = [x for x in range(256) if x not in printable]
-        self._sign = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self._sign = byte_signs()
         value = {sign: b for b, sign in self._sign.items()}
-        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(_SHOWN)
-        if shown[0][0] != _SHOWN.encode().decode("latin-1").translate(self._sign):
-            raise ValueError("the installed library shows bytes differently")
         self._a, self._words, self._known = a.model, a.pre_tokenizer, {}
         size = a.get_vocab_size()
         raw_a = []
