@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -45,37 +48,48 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[
             start = stop
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """One object per worker process, which its later tasks find again."""
+    store = sys.modules.setdefault("foliosift_kept", ModuleType("foliosift_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 class Remembered:
     """Ids of distinct chunks under several tokenizers, kept until there are too many."""
 
-    def __init__(self, encoders: list[Callable[[list[str]], list[list[int]]]], most_chunks: int = 300_000, most_ids: int = 1 << 23):
+    def __init__(self, encoders: list[Callable[[list[str]], list[list[int]]]], most_chunks: int = 1_000_000, most_ids: int = 1 << 23):
         self.encoders, self.most_chunks, self.most_ids = encoders, most_chunks, most_ids
         self._restart()
 
     def _restart(self) -> None:
-        self.number: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids = [np.zeros(1 << 16, np.int32) for _ in self.encoders]
-        self.used = [0] * len(self.encoders)
         self.bounds = [np.zeros(1, np.int64) for _ in self.encoders]
 
-    def places(self, chunks: list[str]) -> np.ndarray:
-        """The number of each chunk; new ones are encoded."""
-        if len(self.number) > self.most_chunks or max(self.used) > self.most_ids:
+    def places(self, chunks: pa.Array) -> np.ndarray:
+        """The number of each of distinct ``chunks``; new ones are encoded."""
+        if len(self.known) > self.most_chunks or max(int(b[-1]) for b in self.bounds) > self.most_ids:
             self._restart()
-        fresh = [c for c in chunks if c not in self.number]
-        if fresh:
-            fresh = list(dict.fromkeys(fresh))
-            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh)), strict=True))
+        at = pc.index_in(chunks, value_set=self.known)
+        new = at.is_null()
+        out = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = chunks.filter(new)
+        if len(fresh):
+            out[new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(fresh))
+            self.known = pa.concat_arrays([self.known, fresh])
+            texts = fresh.to_pylist()
             for k, encode in enumerate(self.encoders):
-                found = encode(fresh)
-                lengths = np.fromiter(map(len, found), np.int64, len(found))
-                flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-                while self.used[k] + len(flat) > len(self.ids[k]):
+                found = encode(texts)
+                used = int(self.bounds[k][-1])
+                ends = used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+                flat = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]) - used)
+                while ends[-1] > len(self.ids[k]):
                     self.ids[k] = np.concatenate((self.ids[k], np.zeros_like(self.ids[k])))
-                self.ids[k][self.used[k] : self.used[k] + len(flat)] = flat
-                self.bounds[k] = np.concatenate((self.bounds[k], self.used[k] + np.cumsum(lengths)))
-                self.used[k] += len(flat)
-        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+                self.ids[k][used : ends[-1]] = flat
+                self.bounds[k] = np.concatenate((self.bounds[k], ends))
+        return out
 
     def gather(self, places: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each tokenizer all ids, and where those of each text end; ``bounds`` are the
@@ -89,7 +103,7 @@ class Remembered:
         return out
 
 
-def spaced_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def spaced_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """``texts`` (no nulls), each behind one space, cut before every space that no white space
     precedes: the distinct chunks, their places in all texts in order, and the texts' borders.
 
@@ -99,12 +113,12 @@ def spaced_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     lists = pc.split_pattern(texts, " ")
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     plain = lists.flatten().dictionary_encode()
-    chunks = [" " + c for c in plain.dictionary.to_pylist()]
+    chunks = pc.binary_join_element_wise("", plain.dictionary, " ")
     codes = plain.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     bounds = np.concatenate(([0], np.cumsum(counts)))
     if not odd.any():
         return chunks, codes, bounds
-    number = {c: i for i, c in enumerate(chunks)}
+    number = {c: i for i, c in enumerate(chunks.to_pylist())}
     cut = re.compile(f" [^ ]*(?:(?<=[{WHITE}]) [^ ]*)*").findall
     parts, sizes = [], counts.copy()
     for row in range(len(texts)):
@@ -114,4 +128,4 @@ def spaced_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
             sizes[row] = len(own)
         else:
             parts.append(codes[bounds[row] : bounds[row + 1]])
-    return list(number), np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+    return pa.array(list(number), pa.string()), np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))

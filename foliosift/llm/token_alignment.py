@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import quoted, require_columns
-from foliosift.llm.remembered import Remembered, byte_signs, ragged, slices, spaced_chunks
+from foliosift.llm.remembered import Remembered, byte_signs, kept, ragged, slices, spaced_chunks
 from foliosift.session import materialise
 
 #: Where the public vocabularies lie; parameters of every call.
@@ -44,7 +44,7 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text worked on at once, distinct pairs of documents in a block, and links of a group
 #: beyond which its distinct ids are paired instead.
-_SLICE = 1 << 21
+_SLICE = 1 << 22
 _BLOCK = 1 << 21
 _WIDE = 1 << 16
 #: The words of a byte-level BPE, for chunks of common characters; the library cuts all others.
@@ -90,9 +90,10 @@ class Pair:
             ids: list[int] = []
             if _PLAIN(chunk):
                 words = _WORDS(chunk)
-                shown = words if chunk.isascii() and "\n" not in chunk else [w.encode().decode("latin-1").translate(sign) for w in words]
-                if shown is words:
-                    shown = [w.replace(" ", sign[32]) for w in words]
+                if chunk.isascii():
+                    shown = [w.replace(" ", "Ġ").replace("\n", "Ċ") for w in words]
+                else:
+                    shown = [w.encode().decode("latin-1").translate(sign) for w in words]
             else:
                 shown = [w for w, _ in self._words.pre_tokenize_str(chunk)]
             for word in shown:
@@ -224,7 +225,7 @@ def _gives_back(raw: pa.Array, ids: np.ndarray, ends: np.ndarray, texts: pa.Arra
 
 
 class _Worker:
-    """What a task needs, made once."""
+    """What a task needs, made once per process."""
 
     def __init__(self, byte_bpe: str, pieces: str):
         self.pair = Pair(byte_bpe, pieces)
@@ -232,6 +233,10 @@ class _Worker:
         ids = max(len(raw) for raw in self.pair.raw)
         self.names = pa.array([f"{i}{end}" for end in (",", "|", ";", "") for i in range(ids)])
 
+    @classmethod
+    def here(cls, *paths: str) -> _Worker:
+        return kept(f"alignment {paths}", lambda: cls(*paths))
+
     def align(self, texts: pa.Array) -> Aligned:
         return Aligned(self.pair, self.memory, texts)
 
@@ -250,7 +255,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker = _Worker(byte_bpe, pieces)
+        worker = _Worker.here(byte_bpe, pieces)
         for rows in slices(batches, 1, _SLICE):
             found = worker.align(rows.column(1))
             a, b = found.overlaps()
@@ -281,7 +286,7 @@ def _blocks(docs: DataFrame, byte_bpe: str, pieces: str, most: int) -> DataFrame
     names = ["block", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "place", "links", "pairs", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker = _Worker(byte_bpe, pieces)
+        worker = _Worker.here(byte_bpe, pieces)
         block = TaskContext.get().partitionId() << 32
         held: list = []
         size = 0

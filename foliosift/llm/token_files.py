@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import quoted, require_columns
-from foliosift.llm.remembered import Remembered, byte_signs, slices
+from foliosift.llm.remembered import Remembered, byte_signs, kept, slices
 
 #: Where the public vocabulary lies, and the id behind each document; parameters of every call.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -54,6 +54,8 @@ BLOCK = 1 << 16
 STEP = 1 << 14
 LANES = 32
 _SLICE = 1 << 23
+#: Two signs in a row that are neither common letters, digits nor white space.
+_SIGNS = r"[^\s0-9A-Za-zÀ-ÖØ-öø-ÿ]{2}"
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 TABLE, CODED = b"FST1", b"FSB1"
@@ -69,52 +71,57 @@ class WordEncoder:
     """The tokenizer's ids of distinct chunks (texts between spaces and line ends)."""
 
     _plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-    _words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+").findall
+    _words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
     def __init__(self, path: str = WORD_BPE):
         from tokenizers import Tokenizer
 
         self._all = Tokenizer.from_file(path)
-        self._model, self._sign, self._known = self._all.model, byte_signs(), {}
-        # Only for the vocabularies that the short way was written for.
-        sample = "It's WE'LL ÀÉß don't x2 10% a--b!? </w> é_è 'tis"
-        if self._short(sample.split(" ")) != [self._all.encode(w, add_special_tokens=False).ids for w in sample.split(" ")]:
-            self._plain = lambda chunk: None
-
-    def _short(self, chunks: list[str]) -> list[list[int]]:
-        known, out = self._known, []
-        if len(known) > 300_000:
-            known.clear()
-        for chunk in chunks:
-            ids: list[int] = []
-            for word in self._words(chunk.lower()):
-                if (found := known.get(word)) is None:
-                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._sign)
-                    found = [t.id for t in self._model.tokenize(shown)]
-                    if len(word) < 100:
-                        known[word] = found
-                ids += found
-            out.append(ids)
-        return out
+        self._model, self._sign = self._all.model, byte_signs()
+        # Only for vocabularies that cut and fold words as the short way does.
+        sample = "It's WE'LL ÀÉß don't x2 10% a--b!? </w> é_è 'tis a.b.. ,c".split(" ")
+        self._short = [self._word(w) for w in sample] == [self._all.encode(w, add_special_tokens=False).ids for w in sample]
+        self.memory = Remembered([self.encode])
+
+    @classmethod
+    def here(cls, path: str) -> WordEncoder:
+        return kept(f"words {path}", lambda: cls(path))
+
+    def _word(self, chunk: str) -> list[int]:
+        if chunk.isalpha() and chunk.isascii():
+            return [t.id for t in self._model.tokenize(chunk.lower())]
+        ids: list[int] = []
+        for word in self._words(chunk.lower()):
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._sign)
+            ids += [t.id for t in self._model.tokenize(shown)]
+        return ids
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
-        """By the short way where every character is common and no special token can stand."""
-        easy = [c for c in chunks if self._plain(c) and "<|" not in c]
-        hard = [c for c in chunks if not self._plain(c) or "<|" in c]
-        found = dict(zip(easy, self._short(easy), strict=True))
-        found.update(zip(hard, (e.ids for e in self._all.encode_batch_fast(hard, add_special_tokens=False)), strict=True))
-        return [found[c] for c in chunks]
-
-    def texts(self, memory: Remembered, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts (nulls are empty), the end id behind each, and their borders."""
-        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        """Word by word where every character is common and no special token can stand."""
+        easy = [self._short and self._plain(c) is not None and "<|" not in c for c in chunks]
+        hard = [c for c, e in zip(chunks, easy, strict=True) if not e]
+        others = iter([x.ids for x in self._all.encode_batch_fast(hard, add_special_tokens=False)] if hard else [])
+        return [self._word(c) if e else next(others) for c, e in zip(chunks, easy, strict=True)]
+
+    def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (nulls are empty), the end id behind each, and their borders.
+
+        The vocabulary drops white space and cuts between letters, digits and runs of other
+        signs, so chunks end at spaces. In texts without two such signs in a row, points and
+        commas are words of their own and case means nothing: fewer chunks differ there."""
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        if self._short:
+            even = pc.invert(pc.match_substring_regex(texts, _SIGNS))
+            apart = pc.replace_substring(pc.replace_substring(pc.ascii_lower(texts), ".", " . "), ",", " , ")
+            texts = pc.if_else(even, apart, texts)
+        lists = pc.split_pattern(texts, " ")
         borders = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))))
         chunks = lists.flatten().dictionary_encode()
-        places = memory.places(chunks.dictionary.to_pylist())[chunks.indices.to_numpy(zero_copy_only=False)]
-        ids, ends = memory.gather(places, borders)[0]
+        places = self.memory.places(chunks.dictionary)[chunks.indices.to_numpy(zero_copy_only=False)]
+        ids, ends = self.memory.gather(places, borders)[0]
         counts = np.diff(ends) + 1
         bounds = np.concatenate(([0], np.cumsum(counts)))
-        out = np.full(int(bounds[-1]), end_id, np.int64)
+        out = np.full(int(bounds[-1]), end_id, np.int32)
         inside = np.ones(len(out), bool)
         inside[bounds[1:] - 1] = False
         out[inside] = ids
@@ -123,7 +130,9 @@ class WordEncoder:
 
 def frequencies(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """Scale bits, distinct ids, and their frequencies, which are at least 1 and sum up to the scale."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     bits = min(28, max(8, int(len(symbols)).bit_length() + 5))
     scale = 1 << bits
     exact = counts * (scale / counts.sum())
@@ -231,7 +240,9 @@ class SectionWriter:
         bits, symbols, given = frequencies(ids) if len(ids) else (8, np.zeros(1, np.int64), np.array([256]))
         yield _record(TABLE, struct.pack("<II", bits, len(symbols)) + symbols.astype("<u4").tobytes() + given.astype("<u4").tobytes())
         place = np.full(-(-len(ids) // BLOCK) * BLOCK, -1, np.int64)
-        place[: len(ids)] = np.searchsorted(symbols, ids)
+        numbers = np.zeros(int(symbols[-1]) + 1, np.int64)
+        numbers[symbols] = np.arange(len(symbols))
+        place[: len(ids)] = numbers[ids]
         if len(place) == BLOCK:  # a lone block need not be filled up
             place = place[: -(-len(ids) // LANES) * LANES]
         table = place.reshape(-(-len(ids) // BLOCK), -1)
@@ -349,11 +360,10 @@ def write(
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
-        memory = Remembered([encoder.encode])
+        encoder = WordEncoder.here(tokenizer)
         writer = SectionWriter(TaskContext.get().partitionId())
         for rows in slices(batches, 1, _SLICE):
-            ids, bounds = encoder.texts(memory, rows.column(1), end_id)
+            ids, bounds = encoder.texts(rows.column(1), end_id)
             for k, doc_id in enumerate(rows.column(0).to_pylist()):
                 for record in writer.add(doc_id, ids[bounds[k] : bounds[k + 1]]):
                     yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])
