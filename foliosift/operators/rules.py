@@ -118,7 +118,7 @@ def lexicons_from_table(table: DataFrame, max_terms: int = 10_000) -> dict[str,
     """Term lists per category from a ``(category, term)`` table.
 
     The terms become part of the plan, so a table with more than ``max_terms`` rows is an
-    error; :func:`attach_lexicon_hits` takes tables of any size.
+    error; ``lexicons.lexicon_rule`` takes tables of any size.
     """
     rows = table.select("category", "term").distinct().limit(max_terms + 1).collect()
     if len(rows) > max_terms:
@@ -129,12 +129,13 @@ def lexicons_from_table(table: DataFrame, max_terms: int = 10_000) -> dict[str,
     return lexicons
 
 
-def attach_lexicon_hits(
+def attach_word_hits(
     df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16
 ) -> DataFrame:
-    """``df`` with the map column ``lexicon_hits``: occurrences of terms per category.
+    """``df`` with the map column ``lexicon_hits``: occurrences of whole words per category.
 
-    ``lexicon`` holds ``(category, term)`` in any number; a term is one or more whole words
+    This counts words and not, as the lexicon rules do, any place of the text: for those see
+    ``lexicons.attach_lexicon_hits``. ``lexicon`` holds ``(category, term)`` in any number; a term is one or more whole words
     (runs of letters and numbers), compared in lower case. The texts' word n-grams, counted per
     document, meet the terms in a join; each term is copied ``salts`` times, so that a term of
     every document spreads. Ids must be unique. A rule reads the column beside the text:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliosift import values
 from foliosift.functions import measures, text
-from foliosift.operators import cascade, rules
+from foliosift.operators import cascade, lexicons, rules
 from foliosift.plans import check_sql as q
 from foliosift.plans.registry import query
 from foliosift.session import input_partitions, spread, table
@@ -268,11 +268,54 @@ def _(spark, sf):
         F.struct(F.lit("pair").alias("category"), F.concat_ws(" ", F.col("w")[1], F.col("w")[2]).alias("term")),
     )))
     hits = F.col("lexicon_hits")
-    return rules.attach_lexicon_hits(documents(spark, sf), lexicon).select(
+    return rules.attach_word_hits(documents(spark, sf), lexicon).select(
         "doc_id", *[F.coalesce(hits[name], F.lit(0)).alias(f"{name}s") for name in ("pair", "word")]
     )
 
 
+# Terms of a script without spaces, one within another, in text put behind every document.
+JAPANESE_TERMS = (("広告", "ads"), ("広告をクリック", "ads"), ("クリック", "ads"), ("今すぐ購入", "ads"), ("購入", "shop"), ("購入する", "shop"))
+JAPANESE_TEXT = "これは広告です。広告をクリックして今すぐ購入する。クリック   クリック"
+
+
+@query(
+    "flt9_lexicon_japanese",
+    f"""WITH doc AS (SELECT doc_id, lower(text || '{JAPANESE_TEXT}' || text) AS t FROM documents)
+        SELECT doc_id, len(regexp_extract_all(t, '広告をクリック|今すぐ購入|クリック|広告'))::BIGINT AS ads,
+               len(regexp_extract_all(t, '購入する|購入'))::BIGINT AS shop,
+               len(regexp_extract_all(t, 'click here now|click here|now'))::BIGINT AS more FROM doc""",
+)
+def _(spark, sf):
+    rows = [*JAPANESE_TERMS, ("Click here now", "more"), ("click here", "more"), ("NOW", "more")]
+    hits = lexicons.counter(spark.createDataFrame(rows, "term string, category string"))
+    found = documents(spark, sf).select("doc_id", hits(F.concat("text", F.lit(JAPANESE_TEXT), "text")).alias("h"))
+    return found.select("doc_id", *[F.coalesce(F.col("h")[c], F.lit(0)).alias(c) for c in ("ads", "shop", "more")])
+
+
+# Every word of the documents of up to 12 letters is a term, behind a space. At one space the
+# longest term counts, so that per category the spaces count before which any term stands.
+@query(
+    "flt9_lexicon_large",
+    """WITH word AS (SELECT doc_id, unnest(string_split(lower(text), ' ')[2:]) AS w FROM documents),
+       term AS (SELECT DISTINCT w AS term, 'c' || length(w) % 3 AS category FROM word WHERE length(w) BETWEEN 1 AND 12),
+       place AS (SELECT doc_id, row_number() OVER () AS p, w FROM word),
+       met AS (SELECT DISTINCT doc_id, p, category FROM place JOIN (SELECT p, unnest(range(1, 13)) AS n FROM place) USING (p)
+               JOIN term ON term = substr(w, 1, n) AND length(w) >= n),
+       counted AS (SELECT doc_id, category, count(*) AS n FROM met GROUP BY ALL)
+       SELECT doc_id, coalesce(sum(n) FILTER (category = 'c0'), 0)::BIGINT AS c0, coalesce(sum(n) FILTER (category = 'c1'), 0)::BIGINT AS c1,
+              coalesce(sum(n) FILTER (category = 'c2'), 0)::BIGINT AS c2
+       FROM documents LEFT JOIN counted USING (doc_id) GROUP BY doc_id""",
+)
+def _(spark, sf):
+    docs = documents(spark, sf)
+    words = docs.select(F.explode(F.slice(F.split(F.lower("text"), " "), 2, 1 << 30)).alias("w")).where(
+        F.length("w").between(1, 12)
+    )
+    terms = words.select(F.concat(F.lit("c"), (F.length("w") % 3).cast("string")).alias("category"), F.concat(F.lit(" "), "w").alias("term"))
+    found = lexicons.attach_lexicon_hits(docs, terms.distinct())
+    return found.select("doc_id", *[F.coalesce(F.col("lexicon_hits")[c], F.lit(0)).alias(c) for c in ("c0", "c1", "c2")])
+
+
 @query(
     "flt12_discrimination",
     f"""SELECT toxic, ({q.lexicon('text', values.LEXICONS['discrimination'])} >= 2)::INTEGER AS rejected,

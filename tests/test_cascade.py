@@ -120,11 +120,11 @@ def test_rules_run_on_a_stream(spark, texts, tmp_path):
     assert {tuple(r) for r in spark.table("marked").collect()} == {(0, False), (1, True)}
 
 
-def test_lexicon_of_a_table_as_a_rule(texts, spark):
+def test_words_of_a_table_as_a_rule(texts, spark):
     lexicon = spark.createDataFrame([("ads", "Buy Now"), ("ads", "sale"), ("ads", "sale"), ("mild", "now"), ("mild", " ")], "category string, term string")
-    df = rules.attach_lexicon_hits(texts(["Buy now! SALE, resale.", "nothing", None, "now"]), lexicon)
+    df = rules.attach_word_hits(texts(["Buy now! SALE, resale.", "nothing", None, "now"]), lexicon)
     got = {r.doc_id: r.lexicon_hits for r in df.collect()}
     assert got == {0: {"ads": 2, "mild": 1}, 1: None, 2: None, 3: {"mild": 1}}
     ads = Rule("ads", lambda c: F.coalesce(F.col("lexicon_hits")["ads"], F.lit(0)) >= 2)
     assert reasons(cascade.apply_cascade(df, [ads])) == ["ads", None, None, None]
-    assert rules.attach_lexicon_hits(texts(["a"]), lexicon.where("false")).first().lexicon_hits is None
+    assert rules.attach_word_hits(texts(["a"]), lexicon.where("false")).first().lexicon_hits is None
