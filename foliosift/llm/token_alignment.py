@@ -44,8 +44,8 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text worked on at once, distinct pairs of documents in a block, and links of a group
 #: beyond which its distinct ids are paired instead.
-_SLICE = 1 << 22
-_BLOCK = 1 << 21
+_SLICE = 1 << 21
+_BLOCK = 1 << 20
 _WIDE = 1 << 16
 #: The words of a byte-level BPE, for chunks of common characters; the library cuts all others.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -84,7 +84,7 @@ class Pair:
 
     def encode_a(self, chunks: list[str]) -> list[list[int]]:
         known, sign, model, out = self._known, self._sign, self._a.tokenize, []
-        if len(known) > 300_000:
+        if len(known) > 150_000:
             known.clear()
         for chunk in chunks:
             ids: list[int] = []
@@ -229,7 +229,7 @@ class _Worker:
 
     def __init__(self, byte_bpe: str, pieces: str):
         self.pair = Pair(byte_bpe, pieces)
-        self.memory = Remembered([self.pair.encode_a, self.pair.encode_b])
+        self.memory = Remembered([self.pair.encode_a, self.pair.encode_b], 250_000, 1 << 21)
         ids = max(len(raw) for raw in self.pair.raw)
         self.names = pa.array([f"{i}{end}" for end in (",", "|", ";", "") for i in range(ids)])
 
@@ -324,6 +324,7 @@ def _blocks(docs: DataFrame, byte_bpe: str, pieces: str, most: int) -> DataFrame
             if size >= most:
                 yield from close()
                 held, size, block = [], 0, block + 1
+                pa.default_memory_pool().release_unused()
         if held:
             yield from close()
 

@@ -49,11 +49,11 @@ WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 1
 #: Ids of a section, of a block and between checkpoints; states of a block. Fixed by the format
 #: are only the lanes and the step.
-SECTION = 1 << 22
+SECTION = 1 << 21
 BLOCK = 1 << 16
 STEP = 1 << 14
 LANES = 32
-_SLICE = 1 << 23
+_SLICE = 1 << 22
 #: Two signs in a row that are neither common letters, digits nor white space.
 _SIGNS = r"[^\s0-9A-Za-zÀ-ÖØ-öø-ÿ]{2}"
 _LOW = np.uint64(1 << 31)
@@ -81,7 +81,7 @@ class WordEncoder:
         # Only for vocabularies that cut and fold words as the short way does.
         sample = "It's WE'LL ÀÉß don't x2 10% a--b!? </w> é_è 'tis a.b.. ,c".split(" ")
         self._short = [self._word(w) for w in sample] == [self._all.encode(w, add_special_tokens=False).ids for w in sample]
-        self.memory = Remembered([self.encode])
+        self.memory = Remembered([self.encode], 600_000, 1 << 22)
 
     @classmethod
     def here(cls, path: str) -> WordEncoder:
@@ -239,8 +239,8 @@ class SectionWriter:
         ids = np.concatenate(self.ids)
         bits, symbols, given = frequencies(ids) if len(ids) else (8, np.zeros(1, np.int64), np.array([256]))
         yield _record(TABLE, struct.pack("<II", bits, len(symbols)) + symbols.astype("<u4").tobytes() + given.astype("<u4").tobytes())
-        place = np.full(-(-len(ids) // BLOCK) * BLOCK, -1, np.int64)
-        numbers = np.zeros(int(symbols[-1]) + 1, np.int64)
+        place = np.full(-(-len(ids) // BLOCK) * BLOCK, -1, np.int32)
+        numbers = np.zeros(int(symbols[-1]) + 1, np.int32)
         numbers[symbols] = np.arange(len(symbols))
         place[: len(ids)] = numbers[ids]
         if len(place) == BLOCK:  # a lone block need not be filled up
