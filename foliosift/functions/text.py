@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 from collections.abc import Sequence
 from functools import reduce
-from html.entities import name2codepoint
-from html.parser import HTMLParser
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,47 +55,91 @@ _FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 _HALF_WIDTH = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 
 
-def decode_entities(col: Column) -> Column:
-    """Named (HTML 4) and numeric character references as characters, in one pass.
+def decode_entities(col: Column, no_break_space: str = " ") -> Column:
+    """Character references as characters, in one pass: all names of HTML 5, with a semicolon or,
+    for those that may lack it, as the longest name that the text begins with; numbers with or
+    without a semicolon, those of the C1 block read as Windows-1252.
 
-    A no-break space becomes a space; what is no reference, or names no character, stays.
+    A no-break space becomes ``no_break_space``. What is no reference, or names no character, stays.
     """
 
     def decoded(part: Column, place: Column) -> Column:
-        name = F.regexp_extract(F.substring(part, 1, 34), r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", 1)
-        number = (
-            F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10))
-            .when(F.startswith(name, F.lit("#")), F.substring(name, 2, 7))
-            .when(name != "", F.try_element_at(_entity_numbers(), name))
-            .cast("int")
-        )
-        number = F.when(number == 160, 32).otherwise(number)
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
-        rest = F.substring(part, F.length(name) + 2, F.length(part))
-        read = F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
-        return F.when(place == 0, part).otherwise(read)
+        number = F.regexp_extract(F.substring(part, 1, 40), r"^#(?:[0-9]{1,32}|[xX][0-9A-Fa-f]{1,32});?", 0)
+        digits = F.regexp_replace(number, "^#[xX]?0*|;$", "")
+        value = F.when(F.length(digits) <= 7, _number(number, digits))
+        code = F.coalesce(F.get(_windows_1252(), value - 0x80), value)
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numbered = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+        full = F.regexp_extract(F.substring(part, 1, 40), "^[A-Za-z][A-Za-z0-9]{1,31};", 0)
+        # The names by their first letter: a map is searched from its beginning.
+        named = F.try_element_at(F.get(_names(), F.ascii(full)), full)
+        prefix = F.regexp_extract(F.substring(part, 1, 10), _BARE_NAME, 0)
+        bare = F.try_element_at(F.get(_names(), F.ascii(prefix)), prefix)
+        taken = F.when(number != "", number).when(named.isNotNull(), full).otherwise(prefix)
+        char = F.when(number != "", numbered).otherwise(F.coalesce(named, bare))
+        char = F.when(char == "\u00a0", F.lit(no_break_space)).otherwise(char)
+        rest = F.substring(part, F.length(taken) + 1, F.length(part))
+        return F.when(place == 0, part).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part)))
 
     return F.array_join(F.transform(F.split(col, "&"), decoded), "")
 
 
-def _entity_numbers() -> Column:
-    pairs = [F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, str(code))]
-    return F.create_map(*pairs)
+def _number(reference: Column, digits: Column) -> Column:
+    hexadecimal = reference.rlike("^#[xX]")
+    return F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+
+
+_BARE_NAME = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+
+
+def _names() -> Column:
+    """By the code of the first letter, the map of names to characters; one literal in the plan."""
+    by_letter: list[dict[str, str]] = [{} for _ in range(128)]
+    for name, char in sorted(html5.items()):
+        by_letter[ord(name[0])][name] = char
+    return F.from_json(F.lit(json.dumps(by_letter)), "array<map<string,string>>")
+
+
+def _windows_1252() -> Column:
+    """The characters of the bytes from 0x80 on; null where the code page has none."""
+    read = [bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)]
+    return F.from_json(F.lit(json.dumps([ord(c) if c else None for c in read])), "array<int>")
+
+
+# A tag from behind its name's first letter to its end: the rest of the name, then white space
+# and slashes, or attributes with a quoted, a bare or no value. Every part is possessive, so the
+# scan is linear; a tag or quote without an end runs to the end of the text.
+_TAG_REST = (
+    r"[^\s/>]*+(?:[\s/]++|[^\s/>][^\s/>=]*+"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z)|(?![\"'])[^\s>]++)?+)?+)*+(?:>|\z)"
+)
+
+
+def _markup(drop: Sequence[str]) -> str:
+    """What the states of a tokenizer take from the text: comments, dropped elements up to their
+    own end tag, elements whose content is text (their group 2), tags, other declarations."""
+    names = "|".join(re.escape(name) for name in drop) or r"(?!)"
+    parts = (
+        r"<!--(?:-?>|.*?(?:--!?>|\z))",
+        rf"<({names})(?=[\s/>]){_TAG_REST}(?:.*?</\1(?=[\s/>])[^>]*+(?:>|\z)|.*)",
+        rf"<(?:title|textarea)(?=[\s/>]){_TAG_REST}(.*?)(?:</(?:title|textarea)(?=[\s/>])[^>]*+(?:>|\z)|\z)",
+        rf"</?[a-z]{_TAG_REST}",
+        r"<[!?][^>]*+(?:>|\z)",
+        r"</(?:>|[^a-z>][^>]*+(?:>|\z))",
+    )
+    return "(?is)" + "|".join(parts)
 
 
 def strip_html(col: Column, drop: Sequence[str] = values.DROPPED_ELEMENTS) -> Column:
-    """Drop tags, comments and ``drop`` elements, decode entities, squeeze blanks.
+    """Drop tags, comments and ``drop`` elements, decode references, squeeze blanks.
 
-    The title stays. A dropped element or comment without an end runs to the end of the text,
-    as in a browser, which also keeps the scan linear. Text without any markup character only
-    has its blanks squeezed.
+    One expression reads the text as a tokenizer does: a quoted attribute may hold ``>``, a
+    comment may hold tags, and the title, whose text stays, is no markup. A dropped element,
+    comment or tag without an end runs to the end of the text, as in a browser. A tag starts
+    with a letter: prose such as "a < b" stays. Text without any markup character only has its
+    blanks squeezed.
     """
-    text = col
-    for name in drop:  # each element up to its own end tag
-        text = F.regexp_replace(text, rf"(?is)<{name}\b[^<>]*>(?:.*?</{name}\s*>|.*)", " ")
-    # A tag starts with a letter and holds no "<": prose such as "a < b" stays.
-    text = F.regexp_replace(text, r"(?s)<!--(?:.*?-->|.*)|<[/!?]?[A-Za-z][^<>]*>", " ")
+    text = F.regexp_replace(col, _markup(drop), " $2 ")
     bare = (
         F.when(F.contains(col, F.lit("&")), decode_entities(text))
         .when(F.contains(col, F.lit("<")), text)
@@ -103,42 +148,20 @@ def strip_html(col: Column, drop: Sequence[str] = values.DROPPED_ELEMENTS) -> Co
     return F.trim(F.regexp_replace(bare, r"[ \t]+", " "))
 
 
-def strip_html_parsed(col: Column, drop: Sequence[str] = ("script", "style")) -> Column:
-    """``strip_html`` with a real HTML parser: all entities, malformed markup.
-
-    Text nodes are stripped and joined by one space. Costs an Arrow hop; use it where
-    :func:`strip_html` is not exact enough.
-    """
-    dropped = frozenset(drop)
-
-    class TextNodes(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.depth, self.nodes = 0, []
-
-        def handle_starttag(self, tag, attrs):
-            self.depth += tag in dropped
-
-        def handle_endtag(self, tag):
-            self.depth -= tag in dropped and self.depth > 0
-
-        def handle_data(self, data):
-            if not self.depth and data.strip():
-                self.nodes.append(data.strip())
+# Stands between text nodes; no character of any text.
+_BORDER = "\ufdd0"
 
-    def text_of(html):
-        if html is None:
-            return None
-        parser = TextNodes()
-        parser.feed(html)
-        parser.close()
-        return " ".join(parser.nodes)
 
-    @F.pandas_udf(T.StringType())
-    def parse(texts: pd.Series) -> pd.Series:
-        return texts.map(text_of)
+def strip_html_parsed(col: Column, drop: Sequence[str] = ("script", "style")) -> Column:
+    """The text nodes as an HTML parser gives them, each stripped, joined by one space.
 
-    return parse(col)
+    No-break spaces inside a node stay.
+    """
+    marked = F.regexp_replace(col, _markup(drop), f"{_BORDER}$2{_BORDER}")
+    white = r"^[\s\x{85}\x{A0}\x{1C}-\x{1F}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    ends = white + "|" + white[1:] + "$"
+    nodes = F.transform(F.split(marked, _BORDER), lambda n: F.regexp_replace(decode_entities(n, "\u00a0"), ends, ""))
+    return F.array_join(F.filter(nodes, lambda n: n != ""), " ")
 
 
 def remove_phrases(col: Column, phrases: Sequence[str] = values.BOILERPLATE_PHRASES) -> Column:

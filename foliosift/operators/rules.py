@@ -51,7 +51,7 @@ def accept_language(languages: Sequence[str], min_ratio: float = 0.5) -> Rule:
 
 
 def strip_html(exact: bool = False) -> Rule:
-    """``exact`` uses the HTML parser, at the price of an Arrow hop."""
+    """``exact`` gives the stripped text nodes of an HTML parser, joined by one space."""
     return Rule("strip_html", transform=text.strip_html_parsed if exact else text.strip_html)
 
 

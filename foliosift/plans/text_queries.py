@@ -62,6 +62,24 @@ def _(spark, sf):
     )
 
 
+# One of each state of a tokenizer, before every page.
+_STATES = (
+    """<a title="a > b">link</a> <a title='<b>' href=x>two</a><!-- <script> --> <a title=don't>one</a>"""
+    """<SCRIPT src='>'>x</sCript\n><div <p>three</div><!-->four<!-- <p> --!><title>a <i> b</title></>"""
+    "<![CDATA[x]]>&copy 2020 &check; &notin; &notit; &#8364 &#128; &ampamp; 1 <3, a < b<p>"
+)
+_STATES_TEXT = "link two one three four a <i> b © 2020 ✓ ∉ ¬it; € € &amp; 1 <3, a < b"
+
+
+@query("prj1_strip_html_states", f"SELECT page_id, {q.quote(_STATES_TEXT)} AS start, {q.strip_html('html')} AS rest FROM pages")
+def _(spark, sf):
+    clean = text.strip_html(F.concat(F.lit(_STATES), "html"))
+    return pages(spark, sf).select(
+        "page_id", F.left(clean, F.lit(len(_STATES_TEXT))).alias("start"),
+        F.trim(F.substring(clean, len(_STATES_TEXT) + 1, 1 << 30)).alias("rest"),
+    )
+
+
 def _nodes_sql(t):
     """Text between tags, each piece trimmed, joined by one space."""
     for name in ("script", "style"):
