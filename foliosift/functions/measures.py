@@ -118,6 +118,12 @@ def detect_language(col: Column) -> Column:
     return F.when(best["hits"] > 0, best["lang"])
 
 
+def language_share(col: Column) -> Column:
+    """Share of the words that are function words of the detected language; 0 without any."""
+    most = F.greatest(*[function_word_hits(col, code) for code in sorted(values.FUNCTION_WORDS)])
+    return share(most, letter_words(col))
+
+
 def letter_words(col: Column) -> Column:
     """Number of letter runs."""
     return _count(F.lower(col), r"\p{L}+")

@@ -37,12 +37,17 @@ def accept_japanese(min_ratio: float = 0.5) -> Rule:
     )
 
 
-def accept_language(languages: Sequence[str], min_ratio: float = 0.5) -> Rule:
-    """Keep the named languages; ``ja`` by script, the others by function words."""
+def accept_language(languages: Sequence[str], min_ratio: float = 0.5, min_share: float = 0.02) -> Rule:
+    """Keep the named languages; ``ja`` by script from ``min_ratio`` on, the others by function
+    words, which must make up ``min_share`` of the words: a single one in a long text decides
+    nothing. Running text has a fifth or more."""
     known = [code for code in languages if code != "ja"]
 
     def rejects(c: Column) -> Column:
-        keep = F.coalesce(measures.detect_language(c).isin(*known), F.lit(False)) if known else F.lit(False)
+        keep = F.lit(False)
+        if known:
+            named = F.coalesce(measures.detect_language(c).isin(*known), F.lit(False))
+            keep = named & (measures.language_share(c) >= min_share)
         if "ja" in languages:
             keep = (measures.has_kana(c) & (measures.japanese_share(c) >= min_ratio)) | keep
         return ~keep

@@ -41,6 +41,10 @@ def language(tokens: str) -> str:
     return f"CASE WHEN list_max([{scored}]).n > 0 THEN list_max([{scored}]).lang END"
 
 
+def most_function_words(tokens: str) -> str:
+    return f"greatest({', '.join(members(tokens, words) for words in values.FUNCTION_WORDS.values())})"
+
+
 def content_share(tokens: str, min_words: int = 10) -> str:
     hits = members(tokens, all_function_words())
     return f"CASE WHEN len({tokens}) >= {min_words} THEN 1 - {ratio(hits, f'len({tokens})')} ELSE 0 END"

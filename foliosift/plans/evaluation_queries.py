@@ -167,6 +167,22 @@ def _(spark, sf):
     return evaluate.extreme_examples(scored).withColumn("clipped_score", F.round("clipped_score", 6))
 
 
+@query(
+    "srt1_extreme_unusable",
+    """WITH s AS (SELECT doc_id, text, length(text)::DOUBLE AS score FROM documents WHERE doc_id % 3 = 2),
+       r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS hi, row_number() OVER (ORDER BY score, doc_id DESC) AS lo FROM s)
+       SELECT doc_id, score, left(text, 200) || '...' AS preview, 'high' AS side FROM r WHERE hi <= 3
+       UNION ALL SELECT doc_id, score, left(text, 200) || '...', 'low' FROM r WHERE lo <= 3""",
+)
+def _(spark, sf):
+    # A third of the scores is null, a third is NaN: neither may be the highest or the lowest.
+    score = F.when(F.col("doc_id") % 3 == 1, F.lit(float("nan"))).when(F.col("doc_id") % 3 == 2, F.length("text").cast("double"))
+    scored = table(spark, sf, "documents", "doc_id", "text").withColumn("score", score)
+    return evaluate.extreme_examples(scored.withColumn("is_educational", F.col("score") >= 2.5)).select(
+        "doc_id", "score", "preview", "side"
+    )
+
+
 @query("src5_read_labelled", "SELECT doc_id, md5(text) AS text_md5, 4.0 * quality::DOUBLE AS truth FROM documents JOIN labels USING (doc_id)")
 def _(spark, sf):
     labelled = read_labelled(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "labels", "doc_id", "quality"))

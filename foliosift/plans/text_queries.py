@@ -27,7 +27,8 @@ def pages(spark, sf):
 def driver_rules():
     """The full cascade with thresholds that bite on the driver tables."""
     return rules.default_rules(
-        language=rules.accept_language(LANGUAGES),
+        # flt1_accept_share checks the least share; here one function word is enough.
+        language=rules.accept_language(LANGUAGES, min_share=0.0),
         remove_phrases=rules.remove_phrases(PHRASES),
         noun_heavy=rules.noun_heavy(0.9),
         single_char_run=rules.single_char_run(4),
@@ -178,6 +179,20 @@ def _(spark, sf):
     return detected.select("doc_id", "detected", F.coalesce(~F.col("detected").isin(*LANGUAGES), F.lit(True)).alias("rejected"))
 
 
+@query(
+    "flt1_accept_share",
+    f"""WITH filled AS (SELECT doc_id, text || repeat(' z', (doc_id % 4 * length(text))::INTEGER) AS text FROM documents),
+        tk AS (SELECT doc_id, {q.letter_tokens('text')} AS tk FROM filled),
+        hits AS (SELECT doc_id, {q.language('tk')} AS detected, len(tk) AS n, {q.most_function_words('tk')} AS most FROM tk)
+        SELECT doc_id, coalesce(detected NOT IN {q.in_list(LANGUAGES)}, TRUE) OR most < 0.02 * n AS rejected FROM hits""",
+)
+def _(spark, sf):
+    # No, one, two and three words without meaning for every character of the text.
+    filler = F.repeat(F.lit(" z"), (F.col("doc_id") % 4 * F.length("text")).cast("int"))
+    filled = documents(spark, sf).select("doc_id", F.concat("text", filler).alias("text"))
+    return filled.select("doc_id", rules.accept_language(LANGUAGES).rejects(F.col("text")).alias("rejected"))
+
+
 @query(
     "flt1_accept_japanese",
     rf"""WITH mixed AS (SELECT doc_id, text || repeat('これは日本語の文です。', (length(text) * (doc_id % 3) // 10)::INTEGER) AS text

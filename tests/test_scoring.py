@@ -86,6 +86,8 @@ def test_extremes_and_sizes(scored):
     df = scored.withColumn("text", F.lit("abc")).withColumn("is_educational", F.col("score") >= 2.5)
     got = evaluate.extreme_examples(df).collect()
     assert [(r.side, r.doc_id) for r in got] == [("high", 0), ("high", 3), ("high", 6), ("low", 29), ("low", 26), ("low", 23)]
+    odd = df.withColumn("score", F.when(F.col("doc_id") == 0, float("nan")).when(F.col("doc_id") == 29, None).otherwise(F.col("score")))
+    assert [r.doc_id for r in evaluate.extreme_examples(odd).collect()] == [3, 6, 9, 26, 23, 20]
     assert evaluate.corpus_size(df).first().characters == 90
     assert evaluate.educational_ratio(df).first().educational == 20
 
