@@ -25,17 +25,17 @@ def parse_values(df: DataFrame, column: str, *keys: str, name: str = "v") -> Dat
     return parsed.select(*keys, one.alias(name))
 
 
-def parse_arrays(df: DataFrame, column: str, name: str = "v") -> DataFrame:
-    """One row per entry of the JSON arrays in ``column``, entries of any kind.
+def parse_arrays(df: DataFrame, column: str, *keys: str, name: str = "v") -> DataFrame:
+    """``keys…`` and one row per entry of the JSON arrays in ``column``, entries of any kind.
 
     Entries are parsed one by one, so only an entry is bound by the size of a variant.
     """
     wrapped = F.concat(F.lit("["), F.col(column), F.lit("]"))
     parsed = F.from_json(wrapped, "array<array<variant>>", {"mode": "FAILFAST"})
-    values = df.select(evaluate_once(parsed).alias("_values"))
+    values = df.select(*keys, evaluate_once(parsed).alias("_values"))
     wrong = F.raise_error(F.lit("Invalid JSON: expected one array")).cast("array<variant>")
     one = F.when(F.size("_values") == 1, F.element_at("_values", 1)).otherwise(wrong)
-    return values.select(F.explode(one).alias(name))
+    return values.select(*keys, F.explode(one).alias(name))
 
 
 def is_json_object(text: Column) -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliosift.functions.json_values import parse_arrays, parse_values
+from foliosift.sources import json_arrays
 
 
-def _texts(objects: DataFrame, id_field: str | None, id_type: str) -> DataFrame:
+def _texts(objects: DataFrame, id_field: str | None, id_type: str, number: Column | None = None) -> DataFrame:
     """Variant rows to ``doc_id, text``; rows that are no object or lack a text are skipped."""
     kind = F.schema_of_variant("v")
     # A JSON null under "text" is a text entry; a missing key is not.
@@ -18,7 +19,8 @@ def _texts(objects: DataFrame, id_field: str | None, id_type: str) -> DataFrame:
     rows = objects.where(F.startswith(kind, F.lit("OBJECT")) & has_text)
     text = F.try_variant_get("v", "$.text", "string").alias("text")
     if id_field is None:
-        return rows.select(F.monotonically_increasing_id().alias("doc_id"), text)
+        number = F.monotonically_increasing_id() if number is None else number
+        return rows.select(number.alias("doc_id"), text)
     return rows.select(F.try_variant_get("v", f"$.{id_field}", id_type).alias("doc_id"), text)
 
 
@@ -27,16 +29,20 @@ def read_json_corpus(
 ) -> DataFrame:
     """``doc_id, text`` from JSON array files, or from JSON lines with ``lines=True``.
 
-    An array file is read by one task as one string (2 GB at most), so a large corpus should
-    come as JSON lines or as many array files. Ids come from ``id_field`` (``id_type`` "string" for names such as
-    URNs; what does not fit the type is null, and duplicate removal refuses null ids) or are numbers that rise in file order;
-    for one array file those are the list positions.
+    Array files of any size are read in parts by many tasks (see ``json_arrays``). Ids come from
+    ``id_field`` (``id_type`` "string" for names such as URNs; what does not fit the type is null,
+    and duplicate removal refuses null ids) or are numbers that rise in file order; for one array
+    file read in one part those are the list positions. Spark passes over empty files.
     """
     if lines:
         objects = parse_values(spark.read.text(path).where(F.trim("value") != ""), "value")
-    else:
-        objects = parse_arrays(spark.read.text(path, wholetext=True), "value")
-    return _texts(objects, id_field, id_type)
+        return _texts(objects, id_field, id_type)
+    whole, across = json_arrays.array_parts(spark, path)
+    texts = [
+        _texts(parse_arrays(parts, "value", "part"), id_field, id_type, json_arrays.rising(F.col("part"), crossing))
+        for parts, crossing in ((whole, False), (across, True))
+    ]
+    return texts[0].unionByName(texts[1])
 
 
 def require_input(df: DataFrame) -> DataFrame:
