@@ -35,7 +35,7 @@ def remove_repeats(
         docs.select(*address, parts.alias("parts"))
         .where(F.size("parts") >= width)
         .select("id", "h1", "h2", F.posexplode(shifted).alias("at", "w"))
-        .where(lines[-1].isNotNull() & (F.length(F.trim(F.concat(*lines))) > 0))
+        .where(lines[-1].isNotNull() & F.concat(*lines).rlike(r"[^\x20\x09-\x0D]"))
         .select("id", "h1", "h2", "at", F.xxhash64(*lines).alias("w1"), F.xxhash64(F.lit(1), *lines).alias("w2"))
     )
     occurrence = F.struct(F.col("id").isNull().alias("n"), "id", "h1", "h2", "at")
