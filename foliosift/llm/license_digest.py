@@ -69,8 +69,13 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"),
 )
 
-#: A line that begins with the word copyright, its sign or "all rights reserved".
-COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A copyright statement: a line that begins with its sign or "all rights reserved", or with the
+#: word copyright and then a sign, a year, a place for one, "by", or no more than a short name.
+COPYRIGHT_LINE = (
+    r"(?m)^[ \t#*/;-]*(?:(?:\(c\)|©|all rights reserved\b)[^\n]*"
+    r"|copyright\b(?:[ \t:,-]*(?:\(c\)|©|by\b|[<\[{(]|(?:18|19|20)[0-9][0-9]\b)[^\n]*"
+    r"|[^\n]*\b(?:18|19|20)[0-9][0-9]\b[^\n]*|(?:[ \t]+[^ \t\n]+){0,4}[ \t]*))$"
+)
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: Lines of a license's body that wrapping lets begin like a copyright line.
 BODY_LINE = (
@@ -97,7 +102,8 @@ def canonical(text: Column) -> Column:
     """Words of the canonical form between single spaces, with one at each end."""
     words = F.regexp_replace(F.concat(F.lit(" "), _without_copyright(text), F.lit(" ")), NOT_WORD, " ")
     for variant, standard in SPELLINGS:
-        words = F.replace(words, F.lit(f" {variant} "), F.lit(f" {standard} "))
+        for _ in range(2):  # neighbours share a space
+            words = F.replace(words, F.lit(f" {variant} "), F.lit(f" {standard} "))
     return words
 
 
@@ -106,7 +112,8 @@ def canonical_lines(text: Column) -> Column:
     words = F.regexp_replace(F.concat(F.lit(" "), _without_copyright(text), F.lit(" ")), r"[^\p{L}\p{N}\n]+", " ")
     words = F.regexp_replace(words, r" ?\n[ \n]*", " \n ")
     for variant, standard in SPELLINGS:
-        words = F.replace(words, F.lit(f" {variant} "), F.lit(f" {standard} "))
+        for _ in range(2):
+            words = F.replace(words, F.lit(f" {variant} "), F.lit(f" {standard} "))
         if " " in variant:  # the two words may stand on two lines
             a, b = variant.split(" ")
             first, _, second = standard.partition(" ")

@@ -99,7 +99,7 @@ WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM document
 windows AS (
   SELECT doc_id, i AS pos, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS w
   FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM doc WHERE len(l) >= 3)
-  WHERE trim(l[i] || l[i + 1] || l[i + 2]) <> ''),
+  WHERE regexp_matches(l[i] || l[i + 1] || l[i + 2], '[^\x20\x09-\x0D]')),
 later AS (
   SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) > 1),
 covered AS (
@@ -163,7 +163,8 @@ def _canonical_sql(text: str) -> str:
     line = license_digest.COPYRIGHT_LINE.replace("'", "''")
     out = f"regexp_replace(' ' || regexp_replace(lower(coalesce({text}, '')), '{line}', '', 'g') || ' ', '{license_digest.NOT_WORD}', ' ', 'g')"
     for variant, standard in license_digest.SPELLINGS:
-        out = f"replace({out}, ' {variant} ', ' {standard} ')"
+        for _ in range(2):  # neighbours share a space
+            out = f"replace({out}, ' {variant} ', ' {standard} ')"
     return out
 
 
