@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliosift.llm.common import fresh_name, quoted, require_columns
+from foliosift.llm.common import fresh_name, quoted, require_columns, row_key
 from foliosift.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -204,17 +204,21 @@ def take(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
     """The mixed corpus with the columns of ``docs``: a row per whole copy and per word range."""
     places = place_words(docs, id_col=id_col, text_col=text_col, seed=seed, **options)
     row, key, part = (fresh_name(docs, n) for n in ("row", "key", "part"))
-    # Documents with one key are equal in id and text; of n of them each place is used once.
-    nth = lambda df, k: df.withColumn("nth", F.row_number().over(Window.partitionBy(k).orderBy(F.lit(0))))
+    # Documents with one key are equal in id and text; of n of them each place is used once, in an
+    # order that a task run again finds again: that of all their columns.
+    nth = lambda df, k, by: df.withColumn("nth", F.row_number().over(Window.partitionBy(k).orderBy(by)))
+    order = fresh_name(docs, "order")
     packed = docs.select(
-        seed_key(quoted(id_col), quoted(text_col), seed).alias(key), F.struct(*[quoted(c) for c in docs.columns]).alias(row)
+        seed_key(quoted(id_col), quoted(text_col), seed).alias(key),
+        row_key(docs, skip=(text_col,)).alias(order),
+        F.struct(*[quoted(c) for c in docs.columns]).alias(row),
     )
     whole = F.when(F.col("whole") > 0, F.array_repeat(F.lit(None).cast("struct<from:bigint,to:bigint>"), F.col("whole").cast("int")))
     pieces = F.concat(F.coalesce(whole, F.expr("cast(array() as array<struct<from:bigint,to:bigint>>)")), F.col("parts"))
-    taken = nth(places.where("size > 0 AND (whole > 0 OR size(parts) > 0)"), "seed_key").select(
+    taken = nth(places.where("size > 0 AND (whole > 0 OR size(parts) > 0)"), "seed_key", F.to_json(F.struct("whole", "parts"))).select(
         F.col("seed_key").alias(key), "nth", pieces.alias(part)
     )
-    joined = nth(packed.where(F.col(row)[text_col].rlike(WORD)), key).join(taken, [key, "nth"]).select(row, F.explode(part).alias(part))
+    joined = nth(packed.where(F.col(row)[text_col].rlike(WORD)), key, F.col(order)).join(taken, [key, "nth"]).select(row, F.explode(part).alias(part))
     text = F.col(row)[text_col]
     ranged = F.regexp_extract_all(text, F.lit(rf"({WORD}[\x20\x09-\x0D]*)"), 1)
     cut = F.array_join(F.slice(ranged, F.col(part)["from"].cast("int") + 1, (F.col(part)["to"] - F.col(part)["from"]).cast("int")), "")
