@@ -99,15 +99,15 @@ class Model:
         if len(self.names) > 1:
             likelihood = self.probabilities[:, seen]
             price = self.penalty * np.log(len(grams) + 1)
-            every, limit = self._mixture(likelihood, counts)
-            # No set can be likelier than all languages together.
-            if limit - value > price:
-                order = [best] + [int(k) for k in np.argsort(-every, kind="stable") if k != best]
-                for size in range(2, len(order) + 1):
-                    some, reached = self._mixture(likelihood[order[:size]], counts)
-                    if reached - value <= price:
-                        break
-                    chosen, shares, value = order[:size], some, reached
+            # Every addition is judged by its own gain: after so few steps the likelihood of all
+            # languages together is no bound for that of a few.
+            every, _ = self._mixture(likelihood, counts)
+            order = [best] + [int(k) for k in np.argsort(-every, kind="stable") if k != best]
+            for size in range(2, len(order) + 1):
+                some, reached = self._mixture(likelihood[order[:size]], counts)
+                if reached - value <= price:
+                    break
+                chosen, shares, value = order[:size], some, reached
         ranked = sorted(zip(-shares, (self.names[k] for k in chosen), strict=True))
         return ranked[0][1], float(min(1.0, -ranked[0][0])), [n for _, n in ranked], [float(-s) for s, _ in ranked]
 

@@ -251,3 +251,29 @@ def test_forest(spark):
     found = prefix_forest.nearest(many, F.col("vec_id") % 100 == 0, k=3).collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in found] == [(0, 1, 1), (0, 2, 1), (0, 3, 1)]
     assert prefix_forest.nearest(rows.limit(0), F.lit(True)).count() == 0
+
+
+def test_blank_windows_stay(texts):
+    """Lines of white space are left alone, whatever white space they hold."""
+    blank = "a\n\t\r\n\r\n \x0b\x0c\nb"
+    rows = line_windows.remove_repeats(texts([blank, blank.replace("a", "c").replace("b", "d")])).collect()
+    assert all(r.removed == [] for r in rows)
+
+
+def test_copyright_lines(texts):
+    """Prose that only begins like a copyright statement is part of the text."""
+    kept = ["Copyrighted works are discussed in this line, all of it prose", "Copyright law is a matter of long and careful study everywhere"]
+    dropped = ["Copyright (c) 2020 A B", "Copyright 1999-2004 The Authors of this long and winding work", "© me", "Copyright Acme Inc.", "(c) 2001 x", "All rights reserved.", "Copyright [yyyy] [name of copyright owner]", "copyright by a b c d e f g"]
+    forms = [r[0] for r in texts([f"{line}\nrest" for line in [*kept, *dropped]]).orderBy("doc_id").select(license_digest.canonical(F.col("text"))).collect()]
+    assert all(f.startswith(" copyright") for f in forms[:2])
+    assert forms[2:] == [" rest "] * len(dropped)
+    doubled = texts(["licence licence licence organisation organisation"]).select(license_digest.canonical(F.col("text"))).first()[0]
+    assert doubled == " license license license organization organization "
+
+
+def test_taken_rows_do_not_depend_on_partitions(spark):
+    """Rows of one id and text that differ in another column."""
+    rows = [(1, "some words of one text " * 20, f"l{i}", "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = [sorted(map(tuple, source_mix.take(docs.repartition(n)).collect())) for n in (6, 3)]
+    assert got[0] == got[1]

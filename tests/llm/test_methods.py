@@ -178,3 +178,18 @@ def test_pipeline_stages(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, small).columns == docs.columns
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "near", "mix", "encode"]
+
+
+def test_second_languages_are_found_among_many():
+    """Mixtures of two of forty languages, after the few steps that are run in production."""
+    rng = np.random.default_rng(8)
+    probabilities = rng.dirichlet(np.full(language_mixture.BUCKETS, 0.02), 40) + 1e-9
+    model = language_mixture.Model([f"l{k:02}" for k in range(40)], probabilities / probabilities.sum(axis=1, keepdims=True), 8.0, 12)
+    seen = rng.multinomial(400, 0.6 * model.probabilities[3] + 0.4 * model.probabilities[17])
+    text_of = language_mixture.trigrams
+    try:
+        language_mixture.trigrams = lambda text: np.repeat(np.arange(language_mixture.BUCKETS), seen)
+        found = model.infer("x")
+    finally:
+        language_mixture.trigrams = text_of
+    assert found[0] == "l03" and found[2] == ["l03", "l17"]
