@@ -115,13 +115,23 @@ def near_first(
     text_col: str = "text",
     n: int = values.SHINGLE_WORDS,
     bands: int = values.MINHASH_BANDS,
+    key_col: str | None = None,
+    copies_first: bool = False,
 ) -> DataFrame:
     """Ids and text keys of the documents that are kept, in ``id_col`` and ``text_key``.
 
+    With ``copies_first`` exact copies go first, by their narrow keys (of a stored ``key_col``
+    without reading a text), so that no copy is cut into shingles; that moves the texts once.
+    Without it only hashes and ids are moved, and copies fall together in their signatures.
     A document is kept if no bucket of it holds a smaller id. It has one bucket per band,
     so that is the same as being the smallest id of ``bands`` buckets: counting wins
     replaces the join of every document with its buckets.
     """
+    if copies_first:
+        key = text_key(F.col(text_col)) if key_col is None else F.col(key_col)
+        first = exact_first(df, id_col, text_col, key_col).select(F.col(_FIRST).alias(id_col), _TEXT_KEY)
+        # The join's keys spread a group of copies by their ids.
+        df = df.select(id_col, text_col, key.alias(_TEXT_KEY)).join(first, [id_col, _TEXT_KEY], "left_semi")
     firsts = bucket_first(band_keys(minhash_signature(df, id_col, text_col, n), bands))
     winner = (F.col(_FIRST).alias(id_col), _TEXT_KEY)
     wins = firsts.groupBy(*winner).agg(F.count(F.lit(1)).alias("wins"))
@@ -132,7 +142,7 @@ def drop_near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
     """Keep the documents of :func:`near_first`, exact copies dropped with the rest."""
-    return _keep(df, near_first(df, id_col, text_col, **settings), id_col, text_col)
+    return _keep(df, near_first(df, id_col, text_col, **{"copies_first": True} | settings), id_col, text_col)
 
 
 def mark_duplicates(
@@ -146,7 +156,7 @@ def mark_duplicates(
     """Give accepted rows the reason ``exact_duplicate`` or ``near_duplicate``.
 
     Rows that already carry a reason take no part and keep it. Rows with equal id and text
-    share one verdict. ``df`` is read three times (signatures, keys, result), so it should be a
+    share one verdict. ``df`` is read several times (keys, signatures, result), so it should be a
     stored table.
     """
     keys = [id_col, _TEXT_KEY]
@@ -156,7 +166,7 @@ def mark_duplicates(
     elif key_col != _TEXT_KEY:
         df = df.withColumn(_TEXT_KEY, F.col(key_col))
     open_rows = df.where(F.col(reason_col).isNull())
-    kept = near_first(open_rows, id_col, text_col, **settings).withColumn("_kept", F.lit(True))
+    kept = near_first(open_rows, id_col, text_col, key_col=_TEXT_KEY, **{"copies_first": True} | settings).withColumn("_kept", F.lit(True))
     first = exact_first(open_rows, id_col, text_col, _TEXT_KEY).select(
         F.col(_FIRST).alias(id_col), _TEXT_KEY, F.lit(True).alias("_first")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliosift import values
 from foliosift.functions.measures import share
-from foliosift.operators.numbering import row_hash, with_position
+from foliosift.operators.numbering import OrderIndex, row_hash, with_position
 
 # A page that ends below this row is a plain top-k; a deeper one is numbered.
 TOP_K_ROWS = 10_000
@@ -161,14 +161,18 @@ def page(df: DataFrame, page: int, size: int, spec: Sequence[tuple[str, str]]) -
     """Page ``page`` (from 1) of ``size`` rows, sorted in the given order.
 
     Rows with equal keys follow a hash of the whole row on every page, so that pages never
-    overlap. Early pages are a top-k; a deep page is cut out of the numbered rows, so that no
-    task has to hold everything before it. Both ways give the same rows.
+    overlap. Early pages are a top-k; a deep page is read from a stored order, so that no task has
+    to hold everything before it. Both ways give the same rows. Who wants many pages keeps the
+    stored order: :func:`page_index`.
     """
     if page < 1 or size < 1:
         raise ValueError("page and size must be positive")
     first, last = (page - 1) * size, page * size
     if last <= TOP_K_ROWS:
         return df.orderBy(*order_columns(spec), row_hash(df)).offset(first).limit(size)
-    numbered = with_position(df, order_columns(spec), name="_position")
-    cut = numbered.where(F.col("_position").between(first + 1, last))
-    return cut.orderBy("_position").drop("_position")
+    return page_index(df, spec).page(page, size)
+
+
+def page_index(df: DataFrame, spec: Sequence[tuple[str, str]]) -> OrderIndex:
+    """``df`` stored once in the given order: any page then reads only the files that hold it."""
+    return OrderIndex(df, order_columns(spec))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliosift.session import materialise
 
@@ -22,49 +25,128 @@ def with_position(
 
     Rows are range-partitioned and sorted on all keys, so a group of any size spreads
     over many tasks. The sorted rows are fixed on shared storage together with their
-    (partition, slot) address; row numbers are then the slot plus the number of group rows
-    in earlier partitions, which comes from one small row per partition and group.
+    (partition, slot) address; row numbers are then the slot plus the number of rows in earlier
+    partitions. With groups, a row's number in its group's run is counted as the sorted rows are
+    written, and only the run that a partition begins with can go on from earlier ones: its offset
+    comes, as for the whole, from one small row per partition. So rows are moved once.
     Rows with equal keys are ordered by a hash of the whole row, so that a key shared by many
     rows spreads as well and numbers do not depend on the partitioning.
     """
     keys = [F.col(g) for g in within] + [F.col(o) if isinstance(o, str) else o for o in order]
-    keys.append(row_hash(df))
+    placed, position = _numbered(df, [*keys, row_hash(df)], within)
+    return placed.select(*[_quoted(c) for c in df.columns], position.alias(name))
+
+
+def _numbered(df: DataFrame, keys: Sequence[Column], within: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The stored rows beside what their position is made of."""
     address = F.monotonically_increasing_id()
-    placed = materialise(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_address", address)
-    ).withColumns(
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if within:
+        ordered = ordered.withColumn("_rank", _run_rank(F.xxhash64(*within)))
+    placed = _with_address(materialise(ordered.withColumn("_address", address)))
+    if not within:
+        # One row per partition of the sorted data: bounded by the partition count.
+        return placed.join(F.broadcast(_offsets(placed)), F.col("_part") == F.col("_p")), _position()
+    groups = [F.col(g).alias(f"g{i}") for i, g in enumerate(within)]
+    in_first = F.col("_slot") == F.col("_rank")
+    ends = placed.groupBy("_part").agg(
+        F.min_by(F.struct(*groups), "_slot").alias("first"),
+        F.max_by(F.struct(*groups), "_slot").alias("last"),
+        (F.max_by("_rank", "_slot") + 1).alias("n"),
+    )
+    # The rows of a group in all partitions that end with it, before each that begins with it.
+    asked = ends.select(F.col("first.*"), F.col("_part").alias("_p"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n"))
+    given = ends.select(F.col("last.*"), F.col("_part").alias("_p"), F.lit(1).alias("kind"), "n")
+    earlier = (
+        Window.partitionBy(*[f"g{i}" for i in range(len(within))]).orderBy("_p", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")
+    offsets = asked.unionByName(given).select("_p", "kind", before).where("kind = 0").drop("kind")
+    position = F.col("_rank") + 1 + F.when(in_first, F.col("_before")).otherwise(0)
+    return placed.join(F.broadcast(offsets), F.col("_part") == F.col("_p")), position.cast("bigint")
+
+
+def _with_address(placed: DataFrame) -> DataFrame:
+    return placed.withColumns(
         {
             "_part": F.shiftright("_address", _SLOT_BITS),
             "_slot": F.col("_address").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1)),
         }
     )
-    blocks = placed.groupBy("_part", *within).agg(
-        F.min("_slot").alias("_start"), F.count(F.lit(1)).alias("_rows")
-    )
-    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = blocks.select(
-        F.col("_part").alias("_p"),
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(within)],
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_start")).alias("_shift"),
-    )
-    if within:
-        on = F.col("_part") == F.col("_p")
-        for i, g in enumerate(within):
-            on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    else:
-        # One row per partition of the sorted data: bounded by the partition count.
-        offsets = F.broadcast(offsets)
-        on = F.col("_part") == F.col("_p")
-    position = (F.col("_slot") + F.col("_shift") + 1).cast("bigint")
-    return placed.join(offsets, on).select(*[_quoted(c) for c in df.columns], position.alias(name))
+
+
+def _offsets(placed: DataFrame, *more: Column) -> DataFrame:
+    """One row per partition: its number, and what to add to its slots."""
+    blocks = placed.groupBy("_part").agg(F.min("_slot").alias("_start"), F.count(F.lit(1)).alias("_rows"), *more)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_start")
+    names = [c for c in blocks.columns if c not in ("_part", "_start")]
+    return blocks.select(F.col("_part").alias("_p"), shift.alias("_shift"), "_start", *names)
+
+
+def _position() -> Column:
+    return (F.col("_slot") + F.col("_shift") + 1).cast("bigint")
+
+
+@F.pandas_udf(T.LongType())
+def _run_rank(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The row's place, from 0, in the run of equal values that it stands in. Rows come in the
+    order of their partition; only this number's hash of the group travels."""
+    last, length = None, 0
+    for batch in groups:
+        values = batch.to_numpy()
+        new = np.ones(len(values), bool)
+        new[1:] = values[1:] != values[:-1]
+        if len(values) and values[0] == last:
+            new[0] = False
+        place = np.arange(len(values))
+        start = np.maximum.accumulate(np.where(new, place, -length))
+        if len(values):
+            last, length = values[-1], int(place[-1] - start[-1] + 1)
+        yield pd.Series(place - start)
+
+
+class OrderIndex:
+    """The rows of ``df`` in an order, stored once, for any number of pages.
+
+    Besides the sorted rows, one row per partition says where it begins, how many rows it has
+    and in which file they are: a page reads the files that hold it and no others.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[Column]):
+        keys = [*order, row_hash(df)]
+        self.columns = df.columns
+        address = F.monotonically_increasing_id()
+        self.rows = materialise(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_address", address), "order")
+        placed = _with_address(self.rows.select("_address", F.col("_metadata.file_path").alias("_file")))
+        self.directory = materialise(_offsets(placed, F.min("_file").alias("_file")), "directory")
+
+    def between(self, first: int, last: int) -> DataFrame:
+        """The rows at positions ``first`` to ``last``, from 1, in order."""
+        begin = F.col("_start") + F.col("_shift")
+        held = self.directory.where((begin < last) & (begin + F.col("_rows") >= first))
+        # At most as many partitions as rows asked for.
+        parts = held.select("_p", "_shift", "_file").collect()
+        spark = self.rows.sparkSession
+        if not parts:
+            return self.rows.where("false").select(*[_quoted(c) for c in self.columns])
+        shifts = spark.createDataFrame([(p["_p"], p["_shift"]) for p in parts], "_p bigint, _shift bigint")
+        rows = _with_address(spark.read.schema(self.rows.schema).parquet(*[p["_file"] for p in parts]))
+        found = rows.join(F.broadcast(shifts), F.col("_part") == F.col("_p")).withColumn("_position", _position())
+        cut = found.where(F.col("_position").between(first, last)).orderBy("_position")
+        return cut.select(*[_quoted(c) for c in self.columns])
+
+    def page(self, number: int, size: int) -> DataFrame:
+        if number < 1 or size < 1:
+            raise ValueError("page and size must be positive")
+        return self.between((number - 1) * size + 1, number * size)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row, leaving out columns of types that Spark cannot hash."""
-    hashable = [_quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
+    """A hash of the whole row; columns of types that Spark cannot hash go in as JSON."""
+    plain = [_quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    others = [F.to_json(F.struct(_quoted(c))) for c, kind in df.dtypes if "map<" in kind or "variant" in kind]
+    return F.xxhash64(*plain, *others) if df.columns else F.lit(0).cast("bigint")
 
 
 def _quoted(name: str) -> Column:

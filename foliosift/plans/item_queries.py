@@ -458,6 +458,24 @@ def _(spark, sf):
     return page.select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "srt3_indexed_pages",
+    """SELECT o_orderkey, place, (place - 1) // 500 + 1 AS page FROM
+       (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders) WHERE (place - 1) // 500 % 7 = 2""",
+)
+def _(spark, sf):
+    # Every seventh page of one stored order.
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    index = items.page_index(orders, [("o_orderdate", "desc"), ("o_orderkey", "asc")])
+    pages = -(-orders.count() // 500)
+    out = None
+    for number in range(3, pages + 1, 7):
+        placed = index.page(number, 500).coalesce(1).withColumn("place", F.lit((number - 1) * 500 + 1) + F.monotonically_increasing_id())
+        rows = placed.select("o_orderkey", "place", F.lit(number).cast("bigint").alias("page"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "srt3_tied_pages",
     "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*)::BIGINT AS times FROM lineitem GROUP BY ALL",
