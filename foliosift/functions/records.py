@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,53 +53,64 @@ def flatten_json(
 ) -> DataFrame:
     """A JSON text column of unknown shape as rows ``(keys…, path, value)``.
 
-    Each level opens the objects it finds and keeps everything else, all in one narrow
-    pass. The number of levels comes from one look at the brackets of all texts; a smaller
-    ``max_depth`` is an error where an object lies deeper, never a cut. A JSON null is a null
-    value.
+    One walk over each text opens its objects, however deep, in the order of their members:
+    where two paths have one name, the later one supplies the value. Everything that is no
+    object is kept whole; objects without members disappear. With ``max_depth`` a deeper object
+    is an error, never a cut. A JSON null is a null value, and a null text is one null leaf.
     """
-    if max_depth is None:
-        max_depth = df.agg(F.max(_bracket_depth(F.col(column)))).first()[0] or 0
-    rows = parse_values(df, column, *keys, name="node").withColumn("path", F.lit(prefix))
-    for _ in range(max_depth):
-        rows = rows.withColumn("opened", _members("node"))
-        rows = rows.select(*keys, F.explode(_children(separator)).alias("child"))
-        rows = rows.select(*keys, "child.path", "child.node")
-    text = F.when(
-        _members("node").isNotNull(), F.raise_error(F.lit(_DEEPER)).cast("string")
-    ).when(~F.is_variant_null("node"), F.coalesce(F.try_variant_get("node", "$", "string"), F.to_json("node")))
-    return rows.select(*keys, "path", text.alias("value"))
-
-
-def _bracket_depth(col: Column) -> Column:
-    """How deep brackets nest outside of string literals."""
-    # Escaped characters go first, so that every quote left is the end of a string.
-    unescaped = F.regexp_replace(col, r"(?s)\\.", "")
-    bare = F.regexp_replace(F.regexp_replace(unescaped, r'"[^"]*"', ""), r"[^{}\[\]]+", "")
-    steps = F.transform(F.split(bare, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(seen: Column, change: Column) -> Column:
-        now = seen["now"] + change
-        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
-
-    return F.aggregate(steps, start, step, lambda seen: seen["most"])
-
-
-def _members(node: str) -> Column:
-    """The members of an object; null for anything else."""
-    return F.try_variant_get(node, "$", "map<string,variant>")
-
-
-def _children(separator: str) -> Column:
-    here = F.col("path")
-    joined = F.when(here == "", F.lit("")).otherwise(F.concat(here, F.lit(separator)))
-    members = F.transform(
-        F.map_entries("opened"),
-        lambda e: F.struct(F.concat(joined, e["key"]).alias("path"), e["value"].alias("node")),
-    )
-    itself = F.array(F.struct(here.alias("path"), F.col("node").alias("node")))
-    return F.coalesce(members, itself)
+    leaves = _walk(separator, prefix, max_depth)(F.col(column))
+    rows = df.select(*keys, F.explode(leaves).alias("leaf")).select(*keys, "leaf.path", "leaf.node")
+    parsed = parse_values(rows, "node", *keys, "path", name="node")
+    text = F.when(~F.is_variant_null("node"), F.coalesce(F.try_variant_get("node", "$", "string"), F.to_json("node")))
+    return parsed.select(*keys, "path", text.alias("value"))
+
+
+class _Number(str):
+    """A number as it is written."""
+
+
+def _written(node) -> str:
+    """A node as JSON text."""
+    if isinstance(node, _Number):
+        return node
+    if isinstance(node, list):
+        return "[" + ",".join(map(_written, node)) + "]"
+    if isinstance(node, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_written(v)}" for k, v in node.items()) + "}"
+    return json.dumps(node)
+
+
+def _walk(separator: str, prefix: str, max_depth: int | None):
+    """A UDF from JSON texts to their leaves, as paths and JSON texts."""
+    leaf = T.StructType([T.StructField("path", T.StringType()), T.StructField("node", T.StringType())])
+
+    def leaves(text: str | None) -> list[tuple[str, str]]:
+        if text is None:
+            return [(prefix, "null")]
+        top = json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_refuse)
+        found: dict[str, str] = {}
+        stack = [(prefix, top, 0)]
+        while stack:
+            path, node, depth = stack.pop()
+            if not isinstance(node, dict):
+                found[path] = _written(node)
+                continue
+            if max_depth is not None and depth >= max_depth:
+                raise ValueError(_DEEPER)
+            stack.extend(
+                (f"{path}{separator}{name}" if path else name, child, depth + 1) for name, child in reversed(node.items())
+            )
+        return list(found.items())
+
+    @F.pandas_udf(T.ArrayType(leaf))
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(leaves)
+
+    return walk
+
+
+def _refuse(name: str):
+    raise ValueError(f"Invalid JSON: {name}")
 
 
 def mark_status(is_valid: Column, processed: Column | None = None) -> tuple[Column, Column]:

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliosift import values
 
@@ -170,16 +167,14 @@ def remove_phrases(col: Column, phrases: Sequence[str] = values.BOILERPLATE_PHRA
 
 
 def strip_emojis(col: Column) -> Column:
-    """Remove emoji with their joiners, tags and variation selectors.
+    """Remove emoji as whole sequences: bases with variations, skin tones and tags, joined ones,
+    flags and keycaps.
 
-    Digits and ``#`` stay, and so do joiners away from emoji, which Indic scripts need.
+    Digits and ``#`` stay outside keycaps, plain symbols such as a check mark stay, and so do
+    joiners away from emoji, which Indic scripts need.
     """
-    return F.regexp_replace(col, values.EMOJI, "")
-
-
-@F.pandas_udf(T.StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+    # Few texts hold a character that could begin or end a sequence; the rest is not searched.
+    return F.when(col.rlike(values.EMOJI_SIGNS), F.regexp_replace(col, values.EMOJI, "")).otherwise(col)
 
 
 def map_full_width(col: Column) -> Column:
@@ -190,13 +185,12 @@ def map_full_width(col: Column) -> Column:
 
 
 def normalize_nfkc(col: Column) -> Column:
-    """Unicode NFKC.
+    """Unicode NFKC, by the ICU library that Spark carries, so in the JVM.
 
-    Only text that holds a character outside the stable blocks travels to Python; every
-    other row sends a null. :func:`map_full_width` before it keeps most Japanese text in
-    the JVM.
+    Only text that holds a character outside the stable blocks is normalised.
     """
-    return F.coalesce(_nfkc(F.when(col.rlike(_UNSTABLE), col)), col)
+    normal = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), col, F.lit(True))
+    return F.when(col.rlike(_UNSTABLE), normal).otherwise(col)
 
 
 def truncate_tokens(col: Column, max_tokens: int = 512) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from foliosift import values
 from foliosift.functions.annotations import TASKS, annotation, build_prompt
 from foliosift.operators.joins import attach_annotations
+from foliosift.session import materialise
 
 _ANSWERS = "_answers"
 
@@ -55,10 +57,9 @@ class CallableAnnotator:
         if not callable(self.make_client) or self.attempts < 1:
             raise ValueError("CallableAnnotator needs a make_client function and attempts >= 1")
 
-    def annotate(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        make_client, attempts, options = self.make_client, self.attempts, dict(self.options)
-        pause = self.pause
-        schemas = {name: task.json_schema() for name, task in TASKS.items()}
+    def asker(self) -> Callable:
+        """``ask(client, prompt, schema)``: the answer, or None once all attempts have failed."""
+        attempts, options, pause = self.attempts, dict(self.options), self.pause
 
         def ask(client, prompt, schema):
             for attempt in range(attempts):
@@ -72,6 +73,12 @@ class CallableAnnotator:
                     return answer
             return None
 
+        return ask
+
+    def annotate(self, df: DataFrame, text_col: str = "text") -> DataFrame:
+        make_client, ask = self.make_client, self.asker()
+        schemas = {name: task.json_schema() for name, task in TASKS.items()}
+
         @F.pandas_udf(", ".join(f"`{name}` string" for name in TASKS))
         def answers(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             client = make_client()
@@ -84,11 +91,76 @@ class CallableAnnotator:
                 )
 
         prompts = [build_prompt(F.col(text_col), task) for task in TASKS.values()]
-        answered = df.select("*", answers(*prompts).alias(_ANSWERS))
+        # Calls may cost money and answer anew: never run twice for a row by the optimiser.
+        answered = df.select("*", answers.asNondeterministic()(*prompts).alias(_ANSWERS))
         records = [annotation(F.col(_ANSWERS)[name], task).alias(task.output) for name, task in TASKS.items()]
         return answered.select(*df.columns, *records)
 
 
+_STORE = "digest string, task string, response string"
+
+
+@dataclass(frozen=True)
+class StoredAnnotator:
+    """A :class:`CallableAnnotator` that keeps every answer below ``store`` and asks only for what
+    is missing there, so a run that ended half way, or a second one, goes on where it stopped.
+
+    Prompts are known by their digest: equal prompts are asked once. What is missing is asked in
+    waves of about ``wave`` prompts, dealt by digest; each is appended as it ends, so a lost run
+    loses one wave. In a task up to ``concurrency`` calls run at a time. Calls without an answer
+    give the placeholder and are not stored: the next run asks again.
+    """
+
+    client: CallableAnnotator
+    store: str
+    wave: int = 10_000
+    concurrency: int = 8
+
+    def __post_init__(self):
+        if self.wave < 1 or self.concurrency < 1:
+            raise ValueError("wave and concurrency must be positive")
+
+    def _answers(self, spark) -> DataFrame:
+        """One answer per digest; an empty store gives none."""
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(self.store)
+        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return spark.createDataFrame([], _STORE)
+        stored = spark.read.schema(_STORE).parquet(self.store)
+        return stored.groupBy("digest").agg(F.min("response").alias("response"))
+
+    def _ask(self, missing: DataFrame) -> DataFrame:
+        make_client, ask, concurrency = self.client.make_client, self.client.asker(), self.concurrency
+        schemas = {name: task.json_schema() for name, task in TASKS.items()}
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            client = make_client()
+            with ThreadPoolExecutor(concurrency) as pool:
+                for batch in batches:
+                    batch["response"] = list(pool.map(lambda row: ask(client, row[1], schemas[row[0]]), zip(batch["task"], batch["prompt"])))
+                    yield batch[["digest", "task", "response"]]
+
+        return missing.mapInPandas(run, _STORE).where(F.col("response").isNotNull())
+
+    def annotate(self, df: DataFrame, text_col: str = "text") -> DataFrame:
+        spark = df.sparkSession
+        prompts = {name: build_prompt(F.col(text_col), task) for name, task in TASKS.items()}
+        digest = {name: F.sha2(F.concat(F.lit(name + ":"), prompt), 256) for name, prompt in prompts.items()}
+        wanted = [F.struct(digest[n].alias("digest"), F.lit(n).alias("task"), prompts[n].alias("prompt")) for n in TASKS]
+        asked = df.select(F.inline(F.array(*wanted))).where(F.col("prompt").isNotNull()).dropDuplicates(["digest"])
+        missing = materialise(asked.join(self._answers(spark).select("digest"), "digest", "left_anti"), "prompts")
+        waves = -(-missing.count() // self.wave)
+        for k in range(waves):
+            wave = missing.where(F.pmod(F.xxhash64("digest"), F.lit(waves)) == k)
+            self._ask(wave).write.mode("append").parquet(self.store)
+        answers = self._answers(spark)
+        found = df.select("*", *[digest[n].alias(f"_{n}_digest") for n in TASKS])
+        for n in TASKS:
+            own = answers.select(F.col("digest").alias(f"_{n}_digest"), F.col("response").alias(f"_{n}_answer"))
+            found = found.join(own, f"_{n}_digest", "left")
+        records = [annotation(F.col(f"_{name}_answer"), task).alias(task.output) for name, task in TASKS.items()]
+        return found.select(*df.columns, *records)
+
+
 def assemble_result(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The six fields of the final record."""
     return df.select(

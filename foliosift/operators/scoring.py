@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.model_cache import ModelCache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,11 +78,13 @@ class MlScorer:
 
 @dataclass(frozen=True)
 class BatchScorer:
-    """A user model behind ``predict_batch_udf``.
+    """A user model over batches of texts of like length.
 
     ``make_predict`` runs once per Python worker, loads the model and returns a function from
     a numpy array of texts to a numpy array of scores. Texts are normalised and cut to
-    ``max_tokens`` first. A model that cannot be loaded fails the job.
+    ``max_tokens`` first. The rows of an Arrow batch, a bounded buffer, are sorted by their number
+    of tokens before they are cut into batches, so that a batch is padded to texts of its own
+    length; the scores go back to their rows. A model that cannot be loaded fails the job.
     """
 
     make_predict: Callable
@@ -91,15 +97,39 @@ class BatchScorer:
             raise ValueError("BatchScorer needs a make_predict function")
 
     def score(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        predict = predict_batch_udf(
-            self.make_predict, return_type=T.DoubleType(), batch_size=self.batch_size
-        )
+        predict = _by_length(self.make_predict, self.batch_size)
         text = normalize_nfkc(F.col(text_col))
         if self.max_tokens is not None:
             text = truncate_tokens(text, self.max_tokens)
         return _with_verdict(df.withColumn("score", evaluate_once(predict(text))), self.threshold)
 
 
+def _by_length(make_predict: Callable, batch_size: int):
+    """The model as a UDF that sorts each Arrow batch by token count."""
+    key = uuid.uuid4()
+
+    @F.pandas_udf(T.DoubleType())
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Kept by the worker for its later tasks.
+        model = ModelCache.get(key)
+        if model is None:
+            model = make_predict()
+            ModelCache.add(key, model)
+        for batch in texts:
+            values = batch.to_numpy(dtype=object)
+            order = np.argsort([0 if t is None else t.count(" ") for t in values], kind="stable")
+            scores = np.empty(len(values))
+            for start in range(0, len(values), batch_size):
+                rows = order[start : start + batch_size]
+                found = np.asarray(model(values[rows]), dtype=float).reshape(-1)
+                if len(found) != len(rows):
+                    raise ValueError(f"the model gave {len(found)} scores for {len(rows)} texts")
+                scores[rows] = found
+            yield pd.Series(scores)
+
+    return predict
+
+
 def score_texts(df: DataFrame, scorer, text_col: str = "text") -> DataFrame:
     """Add ``score`` and ``is_educational``; without a scorer the plan is not built."""
     if scorer is None or not hasattr(scorer, "score"):

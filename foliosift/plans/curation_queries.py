@@ -355,6 +355,15 @@ def _(spark, sf):
     return _annotated_columns(annotator.annotate(requests(spark, sf)))
 
 
+@query("udf4_annotate_stored", _client_sql())
+def _(spark, sf):
+    # A first run over a third of the turns, then one over all: it asks for the rest.
+    annotator = annotate.StoredAnnotator(annotate.CallableAnnotator(sample_client, attempts=2), scratch_path(spark, "answers"), wave=500)
+    turns = requests(spark, sf)
+    annotator.annotate(turns.where(F.col("conv_id") % 3 == 0))
+    return _annotated_columns(annotator.annotate(turns))
+
+
 # --- Joins by key -------------------------------------------------------------------------
 
 

@@ -229,6 +229,24 @@ def _(spark, sf):
     return records.flatten_json(events.select("event_id", nested.alias("j")), "j", "event_id")
 
 
+@query(
+    "prj7_flatten_json_order",
+    """SELECT event_id, 'a.b' AS path, CASE event_id % 3 WHEN 0 THEN user_id::VARCHAR WHEN 1 THEN event_type ELSE NULL END AS value FROM events
+       UNION ALL SELECT event_id, 'c', event_type FROM events WHERE event_id % 3 = 0
+       UNION ALL SELECT event_id, 'd.e', '[{"x":1.5}]' FROM events""",
+)
+def _(spark, sf):
+    # Two members with one path, in either order, and the empty name: the later one counts.
+    user, kind = F.col("user_id").cast("string"), F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))
+    nested = (
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"a.b": 1, "c": 2, "": {"c": '), kind, F.lit('}, "a": {"b": '), user, F.lit("}")))
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"a": {"b": '), user, F.lit('}, "a.b": '), kind))
+        .otherwise(F.concat(F.lit('{"a": {"b": '), user, F.lit(', "b": null}')))
+    )
+    texts = F.concat(nested, F.lit(', "d": {"e": [{"x": 1.50}], "f": {}}}'))
+    return records.flatten_json(table(spark, sf, "events", "event_id", "event_type", "user_id").select("event_id", texts.alias("j")), "j", "event_id")
+
+
 @query("prj8_process", f"SELECT id, name, value * 2 AS value, true AS processed FROM {_PART}")
 def _(spark, sf):
     return items.process(part_items(spark, sf), items.double_value)

@@ -121,6 +121,18 @@ def _(spark, sf):
     return documents(spark, sf).select("doc_id", text.strip_emojis(with_emoji).alias("text_clean"))
 
 
+# One of every class of sequence, and symbols that are no emoji.
+_EMOJI_ALL = "™‼▪↔ℹ◻©🏽👍🏽👩\u200d🚀👨\u200d👩\u200d👧\u200d👦🏳\ufe0f\u200d🌈🇯🇵1\ufe0f\u20e3#\u20e3❤\ufe0f☂🏴\U000e0067\U000e0062\U000e0073\U000e0063\U000e0074\U000e007f⏩🀄🫠"
+_NO_EMOJI = "✓➀1#*•→★♔〜㊀🄰क्\u200dष"
+
+
+@query("prj3_strip_emoji_sequences", f"SELECT doc_id, replace(text, '.', {q.quote('<' + _NO_EMOJI + '>')}) AS text_clean FROM documents")
+def _(spark, sf):
+    mixed = "<" + _EMOJI_ALL + _NO_EMOJI + _EMOJI_ALL + ">"
+    with_emoji = F.replace(F.col("text"), F.lit("."), F.lit(mixed))
+    return documents(spark, sf).select("doc_id", text.strip_emojis(with_emoji).alias("text_clean"))
+
+
 @query("prj4_normalize_nfkc", "SELECT doc_id, text AS text_clean FROM documents")
 def _(spark, sf):
     # The tables are NFKC-stable: letters become full-width or ligatures and come back.
