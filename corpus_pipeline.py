@@ -47,7 +47,9 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Piece ids of the best segmentation, its score, the next best and the exact round trip."""
     vocabulary = sentencepiece_nbest.Vocabulary.load()
-    found = sentencepiece_nbest.decode(sentencepiece_nbest.encode(docs, vocabulary), vocabulary)
+    # Only what the result holds: a further column of the same name as a new one would take its place.
+    texts = docs.select("doc_id", "lang", "source", "text")
+    found = sentencepiece_nbest.decode(sentencepiece_nbest.encode(texts, vocabulary), vocabulary)
     return found.select(
         "doc_id",
         "lang",
