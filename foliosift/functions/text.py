@@ -63,7 +63,7 @@ def decode_entities(col: Column, no_break_space: str = " ") -> Column:
     def decoded(part: Column, place: Column) -> Column:
         number = F.regexp_extract(F.substring(part, 1, 40), r"^#(?:[0-9]{1,32}|[xX][0-9A-Fa-f]{1,32});?", 0)
         digits = F.regexp_replace(number, "^#[xX]?0*|;$", "")
-        value = F.when(F.length(digits) <= 7, _number(number, digits))
+        value = F.when(F.length(digits).between(1, 7), _number(number, digits))
         code = F.coalesce(F.get(_windows_1252(), value - 0x80), value)
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         numbered = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
@@ -166,15 +166,16 @@ def remove_phrases(col: Column, phrases: Sequence[str] = values.BOILERPLATE_PHRA
     return reduce(lambda text, phrase: F.replace(text, F.lit(phrase), F.lit("")), phrases, col)
 
 
-def strip_emojis(col: Column) -> Column:
+def strip_emojis(col: Column, keycaps: bool = False) -> Column:
     """Remove emoji as whole sequences: bases with variations, skin tones and tags, joined ones,
-    flags and keycaps.
+    and flags.
 
-    Digits and ``#`` stay outside keycaps, plain symbols such as a check mark stay, and so do
-    joiners away from emoji, which Indic scripts need.
+    Of a keycap the marks go and the digit stays; with ``keycaps`` it goes too. Plain symbols such
+    as a check mark stay, and so do joiners away from emoji, which Indic scripts need.
     """
+    pattern = f"{values.KEYCAP}|{values.EMOJI}" if keycaps else values.EMOJI
     # Few texts hold a character that could begin or end a sequence; the rest is not searched.
-    return F.when(col.rlike(values.EMOJI_SIGNS), F.regexp_replace(col, values.EMOJI, "")).otherwise(col)
+    return F.when(col.rlike(values.EMOJI_SIGNS), F.regexp_replace(col, pattern, "")).otherwise(col)
 
 
 def map_full_width(col: Column) -> Column:

@@ -130,7 +130,7 @@ _NO_EMOJI = "✓➀1#*•→★♔〜㊀🄰क्\u200dष"
 def _(spark, sf):
     mixed = "<" + _EMOJI_ALL + _NO_EMOJI + _EMOJI_ALL + ">"
     with_emoji = F.replace(F.col("text"), F.lit("."), F.lit(mixed))
-    return documents(spark, sf).select("doc_id", text.strip_emojis(with_emoji).alias("text_clean"))
+    return documents(spark, sf).select("doc_id", text.strip_emojis(with_emoji, keycaps=True).alias("text_clean"))
 
 
 @query("prj4_normalize_nfkc", "SELECT doc_id, text AS text_clean FROM documents")

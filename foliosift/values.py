@@ -97,17 +97,19 @@ EMOJI_SIGNS = (
     r"[\x{A9}\x{AE}\x{203C}-\x{2BFF}\x{3030}\x{303D}\x{3297}\x{3299}\x{FE0F}\x{1F000}-\x{1FAFF}]"
 )
 _BASE = "[" + "".join("-".join(rf"\x{{{p}}}" for p in points.split("-")) for points in EMOJI_POINTS) + "]"
-# A base with its variation or skin tone and tags; such elements joined; flags; keycaps; marks left over.
+# A base with its variation or skin tone and tags; such elements joined; flags; marks left over.
 _ELEMENT = _BASE + r"(?:[\x{FE0E}\x{FE0F}]|[\x{1F3FB}-\x{1F3FF}])?(?:[\x{E0020}-\x{E007E}]+\x{E007F}?)?"
 EMOJI = "|".join(
     (
         rf"{_ELEMENT}(?:\x{{200D}}+{_ELEMENT})*\x{{200D}}?",
         r"[\x{1F1E6}-\x{1F1FF}]{2}",
-        r"[0-9#*]\x{FE0F}?\x{20E3}",
         r"[\x{FE0F}\x{20E3}]",
     )
 )
 
+#: A keycap with its digit or sign.
+KEYCAP = r"[0-9#*]\x{FE0F}?\x{20E3}"
+
 # --- MinHash: h(x) = (a * x + b) mod p, one pair per permutation -------------------
 MINHASH_PRIME = 2**31 - 1
 MINHASH_COEFFICIENTS = (

@@ -34,7 +34,7 @@ STATES = [
     ("t<p class='open", "t"),
     ("t<p", "t"),
     ("caf&eacute &copy 2020 &nbsp;&check; &notin; &notit; &NotEqualTilde; &ampamp;", "café © 2020  ✓ ∉ ¬it; ≂̸ &amp;"),
-    ("&#8364; &#8364 &#x20AC; &#X20ac &#128; &#x99 R&D &nosuch; & &; &# &#x; &a", "€ € € € € ™ R&D &nosuch; & &; &# &#x; &a"),
+    ("&#8364; &#8364 &#x20AC; &#X20ac &#128; &#x99 R&D &nosuch; & &; &# &#x; &a &#0; &#x0 &#99999999;", "€ € € € € ™ R&D &nosuch; & &; &# &#x; &a &#0; &#x0 &#99999999;"),
     ("&lt;b&gt; &amp;lt;", "<b> &lt;"),
     ("plain", "plain"),
     ("", ""),
