@@ -8,7 +8,8 @@ or more; classes are the connected components of the links.
    signature, cut into ``trees`` strings of up to ``_DEPTH`` symbols.
 2. Every tree is a trie of sorted strings. From the full length the matched prefix is
    shortened symbol by symbol until a pair at the threshold shares one in some tree with the
-   target recall: 1 - (1 - threshold^depth)^trees.
+   target recall: 1 - (1 - threshold^depth)^trees. That depends on the parameters alone, and
+   with those of production the full length of 6 symbols is enough: nothing is shortened.
 3. Within a matched prefix, signatures are compared (a margin below the threshold) and only a
    spanning forest of the likely links leaves the task. Its components are the clusters.
 4. In a cluster, every pair of nodes is compared exactly on the whole shingle sets. Again only

@@ -3,8 +3,10 @@
 Every vector gets one long hash string per tree (signs of random projections around the
 sample's mean). Rows are dealt to blocks; in a block each tree is a sorted array of those
 strings. A query descends every tree to its longest matching prefix and then ascends all
-trees together, one depth at a time, until they hold enough candidates; their exact distances
-are computed and the nearest kept. The nearest over all blocks are the result.
+trees together, one depth at a time, until they hold enough candidates; the nearest of them by
+exact distance are kept. The nearest over all blocks are the result. At the shares of a block
+that vectors without structure need, the distances of the whole block are one matrix product,
+of which those of the candidates are taken.
 
 Blocks are of bounded size, so memory is bounded whatever the number of rows, and neither
 candidates nor pairs leave a block: a query leaves at most ``k`` rows there, its answer. The

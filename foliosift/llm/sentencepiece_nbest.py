@@ -10,6 +10,9 @@ up in the vocabulary). Scores add up over such chunks, so distinct chunks are se
 once, short ones side by side as arrays, and the N best of a text combine those of its chunks; only the N - 1
 chunks with the smallest loss to a second segmentation can differ from the best.
 
+Scores are those of the vocabulary file. A unigram model's are log-probabilities; a BPE
+model's are ranks of merges, so that the best sum of scores is not that model's own encoding.
+
 Text form: one space before the text, spaces become U+2581, no other change (the vocabulary
 must have an identity normaliser). Characters without a piece cost the smallest score minus
 10 and are written as byte pieces. U+2581 itself reads as a space. Null gives null ids and no
