@@ -6,7 +6,9 @@ A document is a mixture of languages: expectation-maximisation finds the proport
 make its trigrams likeliest; the language set grows from the best single language as long as
 the log-likelihood gains more than ``penalty`` times the log of the number of trigrams for
 the added one. The language with the largest share in the chosen set is predicted (ties: the
-smaller name), the share is its score.
+smaller name). Against the chosen mixture stands a background in which all trigrams are alike;
+the share of the text that it does not explain better, times the language's share, is the
+score. So text of no learned language, or of none, has a score near 0.
 
 ``und`` with score 0 if the text is null or has no letter (or no language was learned);
 ``languages`` and ``shares`` are then empty. Whole texts are read. Extra columns are kept.
@@ -109,7 +111,18 @@ class Model:
                     break
                 chosen, shares, value = order[:size], some, reached
         ranked = sorted(zip(-shares, (self.names[k] for k in chosen), strict=True))
-        return ranked[0][1], float(min(1.0, -ranked[0][0])), [n for _, n in ranked], [float(-s) for s, _ in ranked]
+        known = 1.0 - self._strange(shares @ self.probabilities[np.ix_(chosen, seen)], counts)
+        score = float(min(1.0, max(0.0, -ranked[0][0] * known)))
+        return ranked[0][1], score, [n for _, n in ranked], [float(-s) for s, _ in ranked]
+
+    def _strange(self, mixed: np.ndarray, counts: np.ndarray) -> float:
+        """The share of the trigrams that a background of all trigrams alike explains better than
+        the languages do, by the same steps as their own shares."""
+        share, flat, total = 0.5, 1.0 / BUCKETS, counts.sum()
+        for _ in range(self.rounds):
+            background = share * flat
+            share = float(counts @ (background / (background + (1 - share) * mixed))) / total
+        return share
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", penalty: float = 8.0, rounds: int = 12) -> Model:

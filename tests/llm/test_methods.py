@@ -193,3 +193,31 @@ def test_second_languages_are_found_among_many():
     finally:
         language_mixture.trigrams = text_of
     assert found[0] == "l03" and found[2] == ["l03", "l17"]
+
+
+def test_language_sets_against_all_sets():
+    """With four languages: no other set, run to convergence, pays for its size better."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(5)
+    probabilities = rng.dirichlet(np.full(language_mixture.BUCKETS, 0.05), 4) + 1e-9
+    model = language_mixture.Model(list("abcd"), probabilities / probabilities.sum(axis=1, keepdims=True), 8.0, 12)
+    text_of = language_mixture.trigrams
+    try:
+        for mix in ([1, 0, 0, 0], [0.7, 0, 0.3, 0], [0.4, 0.3, 0, 0.3], [0.25] * 4):
+            seen = rng.multinomial(600, np.array(mix) @ model.probabilities)
+            language_mixture.trigrams = lambda text, seen=seen: np.repeat(np.arange(language_mixture.BUCKETS), seen)
+            at = np.flatnonzero(seen)
+            counts, best = seen[at].astype(float), None
+            for size in range(1, 5):
+                for some in combinations(range(4), size):
+                    likelihood = model.probabilities[np.ix_(some, at)]
+                    shares = np.full(size, 1 / size)
+                    for _ in range(300):
+                        shares = shares * (likelihood @ (counts / (shares @ likelihood))) / counts.sum()
+                    value = counts @ np.log(shares @ likelihood) - 8.0 * np.log(601) * (size - 1)
+                    if best is None or value > best[0]:
+                        best = (value, sorted("abcd"[k] for k in some))
+            assert sorted(model.infer("x")[2]) == best[1]
+    finally:
+        language_mixture.trigrams = text_of
