@@ -125,22 +125,54 @@ class OrderIndex:
         """The rows at positions ``first`` to ``last``, from 1, in order."""
         begin = F.col("_start") + F.col("_shift")
         held = self.directory.where((begin < last) & (begin + F.col("_rows") >= first))
+        cut = self._placed(held).where(F.col("_position").between(first, last)).orderBy("_position")
+        return cut.select(*[_quoted(c) for c in self.columns])
+
+    def _placed(self, held: DataFrame) -> DataFrame:
+        """The rows of the partitions ``held`` with their ``_position``, read from their files only."""
         # At most as many partitions as rows asked for.
         parts = held.select("_p", "_shift", "_file").collect()
         spark = self.rows.sparkSession
         if not parts:
-            return self.rows.where("false").select(*[_quoted(c) for c in self.columns])
+            return self.rows.where("false").withColumn("_position", F.lit(None).cast("bigint"))
         shifts = spark.createDataFrame([(p["_p"], p["_shift"]) for p in parts], "_p bigint, _shift bigint")
         rows = _with_address(spark.read.schema(self.rows.schema).parquet(*[p["_file"] for p in parts]))
-        found = rows.join(F.broadcast(shifts), F.col("_part") == F.col("_p")).withColumn("_position", _position())
-        cut = found.where(F.col("_position").between(first, last)).orderBy("_position")
-        return cut.select(*[_quoted(c) for c in self.columns])
+        return rows.join(F.broadcast(shifts), F.col("_part") == F.col("_p")).withColumn("_position", _position())
 
     def page(self, number: int, size: int) -> DataFrame:
         if number < 1 or size < 1:
             raise ValueError("page and size must be positive")
         return self.between((number - 1) * size + 1, number * size)
 
+    def pages(self, numbers: range, size: int, place: str = "place", page: str = "page") -> DataFrame:
+        """The rows of all pages in ``numbers``, each with its position and its page's number.
+
+        One pass over the files that hold them, whatever the number of pages; the rows come in the
+        order of their files, and ``place`` orders them as :meth:`page` does.
+        """
+        numbers = numbers if numbers.step > 0 else numbers[::-1]
+        if size < 1 or (numbers and numbers[0] < 1):
+            raise ValueError("page and size must be positive")
+        if not numbers:
+            return self.rows.where("false").select(
+                *[_quoted(c) for c in self.columns], F.lit(0).cast("bigint").alias(place), F.lit(0).cast("bigint").alias(page)
+            )
+
+        def number(position: Column) -> Column:
+            return F.floor((position - 1) / F.lit(size)).cast("bigint") + 1
+
+        # Of a partition: the first page asked for that does not end before it begins.
+        begin = F.col("_start") + F.col("_shift") + 1
+        skipped = F.greatest(F.lit(0), F.ceil((number(begin) - numbers[0]) / F.lit(numbers.step)))
+        wanted = F.lit(numbers[0]) + skipped * numbers.step
+        end = begin + F.col("_rows") - 1
+        held = self.directory.where((wanted <= numbers[-1]) & (wanted <= number(end)))
+        rows = self._placed(held).withColumn("_page", number(F.col("_position")))
+        asked = F.col("_page").between(numbers[0], numbers[-1]) & ((F.col("_page") - numbers[0]) % numbers.step == 0)
+        return rows.where(asked).select(
+            *[_quoted(c) for c in self.columns], F.col("_position").alias(place), F.col("_page").alias(page)
+        )
+
 
 def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row; columns of types that Spark cannot hash go in as JSON."""

@@ -486,12 +486,7 @@ def _(spark, sf):
     orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
     index = items.page_index(orders, [("o_orderdate", "desc"), ("o_orderkey", "asc")])
     pages = -(-orders.count() // 500)
-    out = None
-    for number in range(3, pages + 1, 7):
-        placed = index.page(number, 500).coalesce(1).withColumn("place", F.lit((number - 1) * 500 + 1) + F.monotonically_increasing_id())
-        rows = placed.select("o_orderkey", "place", F.lit(number).cast("bigint").alias("page"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return index.pages(range(3, pages + 1, 7), 500).select("o_orderkey", "place", "page")
 
 
 @query(

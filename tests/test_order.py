@@ -74,3 +74,16 @@ def test_copies_are_not_shingled(spark, texts):
     depth = [next(i for i, line in enumerate(tree) if mark in line) for mark in ("Generate explode", "LeftSemi")]
     assert depth[0] < depth[1]  # the join stands below
     assert 0 in {r.doc_id for r in kept.collect()} and not {r.doc_id for r in kept.collect()} & set(range(1, 50))
+
+
+@pytest.mark.parametrize("numbers", [range(3, 28, 7), range(27, 2, -7), range(1, 28), range(40, 50), range(0)])
+def test_many_pages_of_a_stored_order_are_one_plan(spark, numbers):
+    df = spark.createDataFrame([(i % 90, i) for i in range(1301)], "k int, id int").repartition(5)
+    index = items.page_index(df, [("k", "desc"), ("id", "asc")])
+    found = index.pages(numbers, 50)
+    rows = sorted(((r.place, r.page, r.k, r.id) for r in found.collect()))
+    order = sorted(((i % 90, i) for i in range(1301)), key=lambda r: (-r[0], r[1]))
+    assert rows == [(p, (p - 1) // 50 + 1, *order[p - 1]) for p in range(1, 1302) if (p - 1) // 50 + 1 in numbers]
+    assert "Union" not in plan(found)
+    with pytest.raises(ValueError):
+        index.pages(range(0, 3), 50)
