@@ -214,21 +214,22 @@ def extreme_examples(
     """The ``n`` highest and ``n`` lowest scores with a preview of the text.
 
     Rows without a usable score (null or NaN) take no part, as in classes and bins. Ids must be
-    unique. Scores are computed once and stored with the ids; two top-k over that
-    narrow table name at most ``2 * n`` rows, and only these look up their texts.
+    unique. Scores are computed once and stored with the ids and the previews; two top-k over
+    the narrow columns name at most ``2 * n`` rows, and only these look up their previews.
     """
     usable = scored.where(F.col("score").isNotNull() & ~F.isnan("score"))
     narrow = materialise(
         usable.select(
-            id_col, "score", clip_score(F.col("score")).alias("clipped_score"), "is_educational"
+            id_col, "score", clip_score(F.col("score")).alias("clipped_score"), "is_educational",
+            preview(F.col(text_col), length).alias("preview"),
         ),
         "scores",
     )
+    shown, narrow = narrow.select(id_col, "preview"), narrow.drop("preview")
     high = narrow.orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
     low = narrow.orderBy(F.col("score").asc(), F.col(id_col).desc()).limit(n)
     picked = high.withColumn("side", F.lit("high")).unionByName(low.withColumn("side", F.lit("low")))
-    texts = usable.select(id_col, preview(F.col(text_col), length).alias("preview"))
-    found = texts.join(F.broadcast(picked), id_col)  # 2 * n rows
+    found = shown.join(F.broadcast(picked), id_col)  # 2 * n rows
     is_high = F.col("side") == "high"
     return found.select(id_col, "score", "clipped_score", "is_educational", "preview", "side").orderBy(
         "side",
