@@ -87,3 +87,14 @@ def test_two_texts_under_one_id_both_stay(spark):
         assert sorted((r.doc_id, r.text or "") for r in work(df).collect()) == sorted({(i, t or "") for i, t in rows})
     marked = dedup.mark_duplicates(df.withColumn("reject_reason", F.lit(None).cast("string")))
     assert marked.count() == 4 and marked.where("reject_reason IS NULL").count() == 4
+
+
+@pytest.mark.parametrize("copies_first", [True, False])
+def test_shingles_of_text_ids_are_not_sorted(texts, copies_first):
+    rows = corpus(n=60)
+    docs = texts(rows).withColumn("doc_id", F.format_string("urn:%05d", "doc_id")).repartition(4)
+    kept = dedup.near_first(docs.unionAll(docs), copies_first=copies_first)
+    assert sorted(int(r.doc_id[4:]) for r in kept.collect()) == brute_force(rows)
+    tree = dedup.near_first(docs, copies_first=copies_first)._jdf.queryExecution().executedPlan().toString()
+    above = tree[: tree.index("Generate explode")].split("\n")
+    assert [line.split("Aggregate")[0][-4:] for line in above if "Aggregate" in line][-1] == "Hash"
