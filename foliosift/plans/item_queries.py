@@ -57,13 +57,15 @@ def _(spark, sf):
 
 @query("src1_read_one_array", "SELECT doc_id, md5(text) AS text_md5 FROM documents")
 def _(spark, sf):
-    # All documents in one array file of one line, written as pieces in order.
+    # All documents in one array of one line, written by many tasks as the parts of that line, in
+    # order. Rows of one id are spread as well.
     path = scratch_path(spark, "array")
-    docs = table(spark, sf, "documents", "doc_id", "text").coalesce(1).sortWithinPartitions("doc_id")
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = docs.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
     entry = F.concat(F.when(F.monotonically_increasing_id() == 0, F.lit("[")).otherwise(F.lit(",")), F.to_json(F.struct("doc_id", "text")))
     end = spark.range(1, numPartitions=1).select(F.lit("]").alias("value"))
-    docs.select(entry.alias("value")).unionByName(end).coalesce(1).write.text(path, lineSep=" ")
-    corpus = readers.read_json_corpus(spark, path, id_field="doc_id")
+    docs.select(entry.alias("value")).unionByName(end).write.text(path, lineSep=" ")
+    corpus = readers.read_json_corpus(spark, path, id_field="doc_id", joined=True)
     return corpus.select("doc_id", F.md5("text").alias("text_md5"))
 
 

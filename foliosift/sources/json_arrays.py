@@ -11,6 +11,10 @@ where the entry begins. Only those fragments are shuffled.
 
 A part handed on is the text of a small array: what stands between two entries that are
 objects, and the second of them. An entry is bound by the size of a string, 2 GB.
+
+One array may also lie in several files, as Spark writes it by many tasks: in the order of their
+names the first opens the array, the last closes it, and none ends within an entry. Then a file
+after the first begins at depth 1, and what stands at the end of one goes on in the next.
 """
 
 from __future__ import annotations
@@ -86,31 +90,51 @@ def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _states(pieces: DataFrame) -> DataFrame:
+def _file_order(spark: SparkSession, path: str) -> DataFrame:
+    """``file, place``: the files below ``path`` in the order of their names; no content is read."""
+    files = spark.read.format("binaryFile").load(path).select("_metadata.file_path")
+    return files.select(F.xxhash64("file_path").alias("file"), F.row_number().over(Window.orderBy("file_path")).alias("place"))
+
+
+def _states(pieces: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per split: its number, the state before it, and the split in which the entry
-    began that is open there. Fails for a file that is no array as a whole."""
+    began that is open there. Fails for a file, or ``files`` together, that are no array as a whole."""
     sums = pieces.select("file", "start", "quotes", "closed", "open").mapInArrow(
         _sum_up,
         "file bigint, start bigint, flips int, depth0 bigint, depth1 bigint, met0 array<bigint>, met1 array<bigint>",
     )
+    if files is None:
+        sums = sums.withColumns({"array": F.col("file"), "place": F.lit(0)})
+    else:
+        sums = sums.join(F.broadcast(files), "file").withColumn("array", F.lit(0))
     order = Window.partitionBy("file").orderBy("start")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
+    array = Window.partitionBy("array").orderBy("place", "start")
+    array_before = array.rowsBetween(Window.unboundedPreceding, -1)
+    begins_at = F.when(F.col("place") == F.min("place").over(Window.partitionBy("array")), 0).otherwise(1)
     opened = sums.withColumn("is_open", (F.coalesce(F.sum("flips").over(before), F.lit(0)) % 2).cast("int"))
     opened = opened.withColumns(
         {
             "change": F.when(F.col("is_open") == 0, F.col("depth0")).otherwise(F.col("depth1")),
             "met": F.when(F.col("is_open") == 0, F.col("met0")).otherwise(F.col("met1")),
-            "last": F.lead("start").over(order).isNull(),
+            "file_last": F.lead("start").over(order).isNull(),
+            "last": F.lead("start").over(array).isNull(),
+            "begins_at": begins_at,
         }
-    ).withColumn("depth", F.coalesce(F.sum("change").over(before), F.lit(0)))
-    # The brace that the reader took for the end of the last piece is not in the file.
-    broken = F.col("last") & ((F.col("depth") + F.col("change") != -1) | ((F.col("is_open") + F.col("flips")) % 2 != 0))
+    ).withColumn("depth", F.col("begins_at") + F.coalesce(F.sum("change").over(before), F.lit(0)))
+    # The brace that the reader took for the end of the last piece is not in the file, unless a
+    # file that others follow ends with that of an entry.
+    ended = F.col("depth") + F.col("change")
+    wrong_end = F.when(F.col("last"), ended != -1).otherwise(~ended.isin(0, 1))
+    broken = F.col("file_last") & (wrong_end | ((F.col("is_open") + F.col("flips")) % 2 != 0))
     whole = F.when(broken, F.raise_error(F.lit("Invalid JSON: expected one array")).cast("bigint")).otherwise(F.col("depth"))
     closes = F.array_contains("met", 1 - F.col("depth"))
-    number = F.row_number().over(Window.orderBy("file", "start")).cast("bigint") - 1  # one row per split
-    numbered = opened.select("file", "start", "is_open", whole.alias("depth"), closes.alias("closes"), "last", number.alias("split"))
-    begins = F.max(F.when(F.col("closes"), F.col("split"))).over(before)
-    first = F.min("split").over(Window.partitionBy("file"))
+    number = F.row_number().over(Window.orderBy("array", "place", "start")).cast("bigint") - 1  # one row per split
+    numbered = opened.select(
+        "file", "start", "array", "place", "is_open", whole.alias("depth"), closes.alias("closes"), "file_last", "last", number.alias("split")
+    )
+    begins = F.max(F.when(F.col("closes"), F.col("split"))).over(array_before)
+    first = F.min("split").over(Window.partitionBy("array"))
     return numbered.withColumns({"begin": F.coalesce(begins, first), "first": F.col("split") == first, "begins_file": begins.isNull()})
 
 
@@ -123,10 +147,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
 
     def close(split_ended: bool) -> None:
-        begin, first, begins_file, last = facts
+        begin, first, begins_file, file_last, last = facts
         text = "".join(held)
         held.clear()
-        if split_ended and last:
+        if split_ended and file_last:
             text = text[:-1]
         if not text:
             return
@@ -142,15 +166,15 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         split, quotes, closed, opened, entry_open, entry_depth, begin = (batch.column(k).to_numpy().astype(np.int64) for k in range(7))
-        first, begins_file, last = (batch.column(k).to_pylist() for k in (7, 8, 9))
-        values = batch.column(10).to_pylist()
+        first, begins_file, file_last, last = (batch.column(k).to_pylist() for k in (7, 8, 9, 10))
+        values = batch.column(11).to_pylist()
         starts = _runs(split)
         for a, b in zip(starts, [*starts[1:], len(split)], strict=True):
             if int(split[a]) != now:
                 if now is not None:
                     close(True)
                 now, depth, is_open, seen = int(split[a]), int(entry_depth[a]), int(entry_open[a]), False
-                facts = (int(begin[a]), first[a], begins_file[a], last[a])
+                facts = (int(begin[a]), first[a], begins_file[a], file_last[a], last[a])
             after = (is_open + np.cumsum(quotes[a:b])) & 1
             before = np.concatenate(([is_open], after[:-1]))
             reached = depth + np.cumsum(np.where(before == 1, opened[a:b], closed[a:b]))
@@ -187,14 +211,15 @@ def _as_array(text: Column, opens: Column, ends: Column) -> Column:
     )
 
 
-def array_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The array files below ``path`` as small arrays in ``value``: those of entries within a
-    split, in the order of the file within each partition, and those of entries across splits.
-    ``part`` numbers the splits in file order; an entry across splits has that where it begins."""
+def array_parts(spark: SparkSession, path: str, joined: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The array files below ``path``, or the one array that they are together (``joined``), as
+    small arrays in ``value``: those of entries within a split, in the order of the file within
+    each partition, and those of entries across splits. ``part`` numbers the splits in file
+    order; an entry across splits has that where it begins."""
     pieces = _pieces(spark, path)
-    states = _states(pieces)
+    states = _states(pieces, _file_order(spark, path) if joined else None)
     met = pieces.join(F.broadcast(states), ["file", "start"]).select(
-        "split", "quotes", "closed", "open", "is_open", "depth", "begin", "first", "begins_file", "last", "value"
+        "split", "quotes", "closed", "open", "is_open", "depth", "begin", "first", "begins_file", "file_last", "last", "value"
     )
     parts = met.mapInArrow(_assemble, _PART)
     whole = parts.where("entry").select(F.col("split").alias("part"), _as_array(F.col("text"), F.col("opens"), F.col("ends")).alias("value"))

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliosift.sources import readers
 from foliosift.sources.json_arrays import _pieces
@@ -86,3 +87,75 @@ def test_only_fragments_are_shuffled(spark, tmp_path, ranges):
     plan = readers.read_json_corpus(spark, str(tmp_path / "a.json"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
     assert readers.read_json_corpus(spark, str(tmp_path / "a.json")).count() == 200
+
+
+def cut(rng, entries, n):
+    """The text of one array in ``n`` parts that end between entries, before or after a comma."""
+    rows = [json.dumps(e, ensure_ascii=False) for e in entries]
+    at = sorted(rng.sample(range(1, len(rows)), n - 1))
+    parts = [",".join(rows[a:b]) for a, b in zip([0, *at], [*at, len(rows)], strict=True)]
+    parts[0], parts[-1] = "[" + parts[0], parts[-1] + "]"
+    for k in range(n - 1):
+        blank = rng.choice(["", " ", "\n"])
+        parts[k], parts[k + 1] = rng.choice([(parts[k] + blank, "," + parts[k + 1]), (parts[k] + "," + blank, parts[k + 1])])
+    return parts
+
+
+@pytest.mark.parametrize("size", [200, 1 << 20])
+def test_one_array_in_several_files(spark, tmp_path, ranges, size):
+    rng = random.Random(size + 1)
+    entries = []
+    for i in range(60):
+        more = {"id": i, "more": entry(rng), "text": "".join(map(str, [entry(rng), i, "z" * rng.choice([0, 5, 300])]))}
+        entries.append(more if rng.random() < 0.6 else entry(rng))
+    parts = cut(rng, entries, 9)
+    parts.insert(4, "")
+    for k, part in enumerate(parts):
+        (tmp_path / f"part-{k:05d}.json").write_text(part, encoding="utf-8")
+    ranges(size)
+    rows = readers.read_json_corpus(spark, str(tmp_path), joined=True).orderBy("doc_id").collect()
+    assert len(rows) == len(kept(entries))
+    for r, e in zip(rows, kept(entries), strict=True):
+        assert r.text == e["text"] or not isinstance(e["text"], str)
+    with pytest.raises(Exception):
+        readers.read_json_corpus(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ['[{"text": "a"}', '{"text": "b"}]'], ['[{"text": "a"}', ',,{"text": "b"}]'], ['[{"text": "a"},', ",", "1]"],
+        ['[{"text": "a"}]', ""], ['[{"text": "a"}]', '[{"text": "b"}]'], ['[{"text": "a"', ', "b": 1}]'], ['[{"text": "a"', ', "b": 1}', ',{"text": "c"}', ',{"text": "d"}]'],
+        ['[{"text": "a', 'b"}]'], ['[{"text": "a"}', ', {"text": "b"}'], ['{"text": "a"}', ', {"text": "b"}]'], ['[[{"text": "a"}', ']]'],
+    ],
+)
+def test_several_files_that_are_no_array(spark, tmp_path, ranges, parts):
+    for k, part in enumerate(parts):
+        (tmp_path / f"{k}.json").write_text(part)
+    ranges(5)
+    read = readers.read_json_corpus(spark, str(tmp_path), joined=True)
+    if parts[1:] == [""]:
+        assert [r.text for r in read.collect()] == ["a"]  # an empty file holds nothing
+    else:
+        with pytest.raises(Exception):
+            read.collect()
+
+
+def test_no_task_writes_the_whole_array(spark, tmp_path, monkeypatch):
+    from foliosift.plans import item_queries
+    from foliosift.plans.registry import QUERIES
+
+    rows = [(i // 3 if i % 10 else None, f"{i} }} \\ \" [" * 20) for i in range(300)] + [(7, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(item_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # the table is small
+    try:
+        read = QUERIES["src1_read_one_array"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset(coalesce)
+    want = docs.where("text IS NOT NULL").select("doc_id", F.md5("text").alias("text_md5"))
+    assert read.count() == want.count() and read.exceptAll(want).isEmpty()
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "array").glob("part-*"))
+    assert len(sizes) > 2 and sizes[-1] < 0.6 * sum(sizes)
